@@ -30,50 +30,45 @@ def side_km(resolution: int) -> float:
     return SIDE_KM_AT_STEP_2 * math.pow(7.0, (2 - resolution) / 2.0)
 
 
-def with_cell_key(
-    df: DataFrame, resolution: int, out: str, lat: str = "lat", lon: str = "lon"
-) -> DataFrame:
-    """Add the BIGINT cell key of each position.
+def with_plane_position(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Add the projected position `_x`, `_y` in km.
 
     The steps are separate projections on purpose: each trigonometric value is computed once per
     row and all of them stay in the scan's code-generated stage.
     """
     sin0, cos0 = math.sin(math.radians(CENTRE_LAT)), math.cos(math.radians(CENTRE_LAT))
-    side = side_km(resolution)
     keep = df.columns
+    east = F.radians(F.col(lon) - F.lit(CENTRE_LON))
     trig = df.select(
         *keep,
         F.sin(F.radians(lat)).alias("_sin_lat"),
         F.cos(F.radians(lat)).alias("_cos_lat"),
-        F.sin(F.radians(F.col(lon) - F.lit(CENTRE_LON))).alias("_sin_lon"),
-        F.cos(F.radians(F.col(lon) - F.lit(CENTRE_LON))).alias("_cos_lon"),
+        F.sin(east).alias("_sin_lon"),
+        F.cos(east).alias("_cos_lon"),
     )
+    sin_lat, cos_lat, cos_lon = F.col("_sin_lat"), F.col("_cos_lat"), F.col("_cos_lon")
+    towards = F.lit(1.0) + F.lit(sin0) * sin_lat + F.lit(cos0) * cos_lat * cos_lon
     scaled = trig.select(
         *keep,
-        (F.col("_cos_lat") * F.col("_sin_lon")).alias("_ux"),
-        (
-            F.lit(cos0) * F.col("_sin_lat") - F.lit(sin0) * F.col("_cos_lat") * F.col("_cos_lon")
-        ).alias("_uy"),
-        (
-            F.lit(EARTH_RADIUS_KM)
-            * F.sqrt(
-                F.lit(2.0)
-                / (
-                    F.lit(1.0)
-                    + F.lit(sin0) * F.col("_sin_lat")
-                    + F.lit(cos0) * F.col("_cos_lat") * F.col("_cos_lon")
-                )
-            )
-        ).alias("_k"),
+        (cos_lat * F.col("_sin_lon")).alias("_ux"),
+        (F.lit(cos0) * sin_lat - F.lit(sin0) * cos_lat * cos_lon).alias("_uy"),
+        (F.lit(EARTH_RADIUS_KM) * F.sqrt(F.lit(2.0) / towards)).alias("_k"),
     )
-    axial = scaled.select(
+    return scaled.select(
         *keep,
-        (
-            (F.lit(math.sqrt(3.0) / 3.0) * F.col("_k") * F.col("_ux")
-             - F.lit(1.0 / 3.0) * F.col("_k") * F.col("_uy"))
-            / F.lit(side)
-        ).alias("_fq"),
-        (F.lit(2.0 / 3.0) * F.col("_k") * F.col("_uy") / F.lit(side)).alias("_fr"),
+        (F.col("_k") * F.col("_ux")).alias("_x"),
+        (F.col("_k") * F.col("_uy")).alias("_y"),
+    )
+
+
+def with_hexagon_key(df: DataFrame, side: Column, out: str) -> DataFrame:
+    """Replace `_x`, `_y` by the BIGINT key of the hexagon of the given side around them."""
+    keep = [c for c in df.columns if c not in {"_x", "_y"}]
+    x, y = F.col("_x"), F.col("_y")
+    axial = df.select(
+        *keep,
+        ((F.lit(math.sqrt(3.0) / 3.0) * x - F.lit(1.0 / 3.0) * y) / side).alias("_fq"),
+        (F.lit(2.0 / 3.0) * y / side).alias("_fr"),
     )
     # Cube rounding. floor(x + 0.5) has the same tie rule in every engine.
     rounded = axial.select(
@@ -102,7 +97,13 @@ def with_cell_key(
     )
 
 
+def with_cell_key(df: DataFrame, resolution: int, out: str) -> DataFrame:
+    """Add the BIGINT cell key of each position at one resolution."""
+    return with_hexagon_key(with_plane_position(df), F.lit(side_km(resolution)), out)
+
+
 def cell_name(key: Column, resolution: int) -> Column:
+    """Readable id of a cell key."""
     q = F.shiftright(key, 31) - F.lit(_KEY_OFFSET)
     r = key.bitwiseAND(F.lit(_KEY_SPAN - 1)) - F.lit(_KEY_OFFSET)
     return F.concat(F.lit(f"{resolution}_"), q.cast("string"), F.lit("_"), r.cast("string"))

@@ -36,7 +36,7 @@ def assign_cells(
     return keyed.withColumn(CELL, cell_name(F.col(CELL_KEY), step)).drop(CELL_KEY)
 
 
-def _report_rank(rules: Rules) -> Column:
+def report_rank(rules: Rules) -> Column:
     """(nic, time inside the slot, nac_p) as one BIGINT that sorts in that order.
 
     16 bits of NIC, 32 bits of time, 16 bits of NACp. A BIGINT minimum stays in the
@@ -52,6 +52,11 @@ def _report_rank(rules: Rules) -> Column:
     )
 
 
+def rank_nac_p(rank: str) -> Column:
+    """The NACp inside a packed rank."""
+    return (F.col(rank).bitwiseAND(F.lit(65535)) - F.lit(32768)).cast("int")
+
+
 def worst_reports(
     observations: DataFrame, cell: str = CELL, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
@@ -60,7 +65,7 @@ def worst_reports(
     NACp is the first known value in the order (NIC, report time, NACp). Copies of a report
     collapse on the map side, so an aircraft with very many reports never becomes a hot task.
     """
-    nac_rank = F.min(_report_rank(rules))  # NULL where NACp is NULL, and min skips NULLs
+    nac_rank = F.min(report_rank(rules))  # NULL where NACp is NULL, and min skips NULLs
     return (
         observations.filter(F.col("hex").isNotNull())
         .groupBy(cell, SLOT, "hex")
@@ -70,7 +75,7 @@ def worst_reports(
             SLOT,
             "hex",
             "nic",
-            (F.col("_rank").bitwiseAND(F.lit(65535)) - F.lit(32768)).cast("int").alias("nac_p"),
+            rank_nac_p("_rank").alias("nac_p"),
         )
     )
 

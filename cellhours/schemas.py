@@ -113,11 +113,3 @@ LEGACY_REPORTS = _struct(
     ("is_control_region", T.BooleanType()),
     ("date", T.DateType()),
 )
-
-SAMPLE_POINTS = _struct(
-    ("name", T.StringType()),
-    ("lat", T.DoubleType()),
-    ("lon", T.DoubleType()),
-    ("radius_nm", T.DoubleType()),
-    ("control", T.BooleanType()),
-)

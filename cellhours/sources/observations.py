@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
@@ -100,19 +100,11 @@ def append_if_absent(batch: DataFrame, path: str) -> int:
     columns = [f.name for f in OBSERVATIONS.fields]
     fresh = absent_rows(batch.select(*columns), stored_observations(spark, path))
     dated = fresh.withColumn(DATE, utc_date(F.col("slot_start")))
-    # The row count comes from the write itself, so the join runs once.
-    seen = _RowCount(spark)
-    observed = dated.observe(seen.observation, F.count(F.lit(1)).alias("rows"))
-    # Rebalancing keeps files large, and splits a date that holds most of the batch.
-    observed.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(path)
-    return seen.rows()
-
-
-class _RowCount:
-    def __init__(self, spark: SparkSession) -> None:
-        from pyspark.sql import Observation
-
-        self.observation = Observation()
-
-    def rows(self) -> int:
-        return int(self.observation.get["rows"])
+    # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
+    # count is taken from the writing stage, whose tasks count once even after a lost executor.
+    written = Observation()
+    balanced = dated.hint("rebalance", F.col(DATE)).observe(
+        written, F.count(F.lit(1)).alias("rows")
+    )
+    balanced.write.mode("append").partitionBy(DATE).parquet(path)
+    return int(written.get["rows"])

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellhours.schemas import SAMPLE_POINTS
-
 RADIUS_NM = 250.0
 
 # Name, latitude, longitude, control region.
@@ -33,8 +31,18 @@ POINTS = (
 
 
 def all_points(spark: SparkSession) -> DataFrame:
-    rows = [(name, lat, lon, RADIUS_NM, control) for name, lat, lon, control in POINTS]
-    return spark.createDataFrame(rows, SAMPLE_POINTS)
+    """The dimension as a literal, so that its size is known when a join is planned."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.lit(lat).alias("lat"),
+            F.lit(lon).alias("lon"),
+            F.lit(RADIUS_NM).alias("radius_nm"),
+            F.lit(control).alias("control"),
+        )
+        for name, lat, lon, control in POINTS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def active_points(points: DataFrame, include_controls: bool = True) -> DataFrame:
