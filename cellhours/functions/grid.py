@@ -31,13 +31,14 @@ def side_km(resolution: int) -> float:
 
 
 def with_plane_position(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Add the projected position `_x`, `_y` in km.
+    """Add the projected position `_x`, `_y` in km of every row that has a position.
 
     The steps are separate projections on purpose: each trigonometric value is computed once per
     row and all of them stay in the scan's code-generated stage.
     """
     sin0, cos0 = math.sin(math.radians(CENTRE_LAT)), math.cos(math.radians(CENTRE_LAT))
     keep = df.columns
+    df = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     east = F.radians(F.col(lon) - F.lit(CENTRE_LON))
     trig = df.select(
         *keep,
@@ -92,9 +93,11 @@ def with_hexagon_key(df: DataFrame, side: Column, out: str) -> DataFrame:
     fix_r = ~fix_q & (F.col("_dr") > F.col("_ds"))
     q = F.when(fix_q, -F.col("_rr") - F.col("_rs")).otherwise(F.col("_rq"))
     r = F.when(fix_r, -F.col("_rq") - F.col("_rs")).otherwise(F.col("_rr"))
-    return errors.select(
-        *keep, ((q + F.lit(_KEY_OFFSET)) * F.lit(_KEY_SPAN) + r + F.lit(_KEY_OFFSET)).alias(out)
-    )
+    key = (q + F.lit(_KEY_OFFSET)) * F.lit(_KEY_SPAN) + r + F.lit(_KEY_OFFSET)
+    # Rows without a position are gone, so the fallback never shows. It makes the key non-NULL by
+    # type: otherwise every join on a cell would add a NULL check, and the optimizer would push
+    # that check, with all of the arithmetic above inlined into it, down to the scan.
+    return errors.select(*keep, F.coalesce(key, F.lit(-1)).alias(out))
 
 
 def with_cell_key(df: DataFrame, resolution: int, out: str) -> DataFrame:

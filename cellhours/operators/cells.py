@@ -26,11 +26,7 @@ def with_slot(observations: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 def assign_cells(
     observations: DataFrame, rules: Rules = DEFAULT_RULES, resolution: int | None = None
 ) -> DataFrame:
-    """Attach the cell id and the hourly slot to positioned reports.
-
-    A NULL check on the cell is left out on purpose: it would be pushed below the projection and
-    repeat all of its arithmetic there. Positions are checked where reports enter the system.
-    """
+    """Attach the cell id and the hourly slot to the reports that have a position."""
     step = rules.grid_resolution if resolution is None else resolution
     keyed = with_cell_key(with_slot(observations, rules), step, CELL_KEY)
     return keyed.withColumn(CELL, cell_name(F.col(CELL_KEY), step)).drop(CELL_KEY)

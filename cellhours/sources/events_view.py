@@ -48,6 +48,10 @@ def _site_lon(site: Column) -> Column:
     return F.lit(10.0) + F.floor(site / 4) * F.lit(4.0)
 
 
+def _site_bit() -> Column:
+    return F.call_function("shiftleft", F.lit(1), F.col("site").cast("int"))
+
+
 def _report_columns(i: Column, site: Column, hour: Column) -> dict[str, Column]:
     """Values of report `i` of an event at `site` in the event hour `hour`."""
     event = F.col("event_id")
@@ -134,7 +138,7 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
             hour_index(F.col("event_at")).alias("hour"), (F.col("event_id") % SITES).alias("site")
         )
         .groupBy("hour")
-        .agg(F.bit_or(F.shiftleft(F.lit(1), F.col("site").cast("int"))).alias("answered"))
+        .agg(F.bit_or(_site_bit()).alias("answered"))
     )
     out = (F.col("hour") % OUTAGE_PERIOD).isin(*OUTAGE_HOURS)
     each = hours.select(
@@ -165,7 +169,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .groupBy("hour")
         .agg(
-            F.bit_or(F.shiftleft(F.lit(1), F.col("site").cast("int"))).alias("answered"),
+            F.bit_or(_site_bit()).alias("answered"),
             (F.count(F.lit(1)) * REPORTS_PER_EVENT).alias("reports"),
         )
     )
