@@ -30,109 +30,97 @@ def side_km(resolution: int) -> float:
     return SIDE_KM_AT_STEP_2 * math.pow(7.0, (2 - resolution) / 2.0)
 
 
-def with_plane_position(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Add the projected position `_x`, `_y` in km of every row that has a position.
+def with_plane_position(df: DataFrame) -> DataFrame:
+    """Add the projected position `_x`, `_y` in km of every row that has `lat` and `lon`.
 
     The steps are separate projections on purpose: each trigonometric value is computed once per
     row and all of them stay in the scan's code-generated stage.
     """
     sin0, cos0 = math.sin(math.radians(CENTRE_LAT)), math.cos(math.radians(CENTRE_LAT))
-    keep = df.columns
-    df = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    east = F.radians(F.col(lon) - F.lit(CENTRE_LON))
-    trig = df.select(
-        *keep,
-        F.sin(F.radians(lat)).alias("_sin_lat"),
-        F.cos(F.radians(lat)).alias("_cos_lat"),
-        F.sin(east).alias("_sin_lon"),
-        F.cos(east).alias("_cos_lon"),
+    trig = df.filter("lat IS NOT NULL AND lon IS NOT NULL").selectExpr(
+        "*",
+        "sin(radians(lat)) AS _sl",
+        "cos(radians(lat)) AS _cl",
+        f"sin(radians(lon - {CENTRE_LON}D)) AS _so",
+        f"cos(radians(lon - {CENTRE_LON}D)) AS _co",
     )
-    sin_lat, cos_lat, cos_lon = F.col("_sin_lat"), F.col("_cos_lat"), F.col("_cos_lon")
-    towards = F.lit(1.0) + F.lit(sin0) * sin_lat + F.lit(cos0) * cos_lat * cos_lon
-    scaled = trig.select(
-        *keep,
-        (cos_lat * F.col("_sin_lon")).alias("_ux"),
-        (F.lit(cos0) * sin_lat - F.lit(sin0) * cos_lat * cos_lon).alias("_uy"),
-        (F.lit(EARTH_RADIUS_KM) * F.sqrt(F.lit(2.0) / towards)).alias("_k"),
-    )
-    return scaled.select(
-        *keep,
-        (F.col("_k") * F.col("_ux")).alias("_x"),
-        (F.col("_k") * F.col("_uy")).alias("_y"),
+    scaled = trig.selectExpr(
+        "* EXCEPT (_sl, _cl, _so, _co)",
+        "_cl * _so AS _ux",
+        f"{cos0!r}D * _sl - {sin0!r}D * _cl * _co AS _uy",
+        f"{EARTH_RADIUS_KM}D * sqrt(2D / (1D + {sin0!r}D * _sl + {cos0!r}D * _cl * _co)) AS _k",
     )
+    return scaled.selectExpr("* EXCEPT (_ux, _uy, _k)", "_k * _ux AS _x", "_k * _uy AS _y")
+
 
+def with_hexagon_key(df: DataFrame, side: str, out: str) -> DataFrame:
+    """Replace `_x`, `_y` by the BIGINT key of the hexagon around them.
 
-def with_hexagon_key(df: DataFrame, side: Column, out: str) -> DataFrame:
-    """Replace `_x`, `_y` by the BIGINT key of the hexagon of the given side around them."""
-    keep = [c for c in df.columns if c not in {"_x", "_y"}]
-    x, y = F.col("_x"), F.col("_y")
-    axial = df.select(
-        *keep,
-        ((F.lit(math.sqrt(3.0) / 3.0) * x - F.lit(1.0 / 3.0) * y) / side).alias("_fq"),
-        (F.lit(2.0 / 3.0) * y / side).alias("_fr"),
+    `side` is the side in km, as SQL: a number or a column.
+    """
+    axial = df.selectExpr(
+        "* EXCEPT (_x, _y)",
+        f"({math.sqrt(3.0) / 3.0!r}D * _x - {1.0 / 3.0!r}D * _y) / {side} AS _fq",
+        f"{2.0 / 3.0!r}D * _y / {side} AS _fr",
     )
     # Cube rounding. floor(x + 0.5) has the same tie rule in every engine.
-    rounded = axial.select(
-        *keep,
-        "_fq",
-        "_fr",
-        F.floor(F.col("_fq") + F.lit(0.5)).alias("_rq"),
-        F.floor(F.col("_fr") + F.lit(0.5)).alias("_rr"),
-        F.floor(-F.col("_fq") - F.col("_fr") + F.lit(0.5)).alias("_rs"),
+    rounded = axial.selectExpr(
+        "*",
+        "floor(_fq + 0.5D) AS _rq",
+        "floor(_fr + 0.5D) AS _rr",
+        "floor(-_fq - _fr + 0.5D) AS _rs",
     )
-    errors = rounded.select(
-        *keep,
-        "_rq",
-        "_rr",
-        "_rs",
-        F.abs(F.col("_rq") - F.col("_fq")).alias("_dq"),
-        F.abs(F.col("_rr") - F.col("_fr")).alias("_dr"),
-        F.abs(F.col("_rs") + F.col("_fq") + F.col("_fr")).alias("_ds"),
+    errors = rounded.selectExpr(
+        "* EXCEPT (_fq, _fr)",
+        "abs(_rq - _fq) AS _dq",
+        "abs(_rr - _fr) AS _dr",
+        "abs(_rs + _fq + _fr) AS _ds",
     )
-    fix_q = (F.col("_dq") > F.col("_dr")) & (F.col("_dq") > F.col("_ds"))
-    fix_r = ~fix_q & (F.col("_dr") > F.col("_ds"))
-    q = F.when(fix_q, -F.col("_rr") - F.col("_rs")).otherwise(F.col("_rq"))
-    r = F.when(fix_r, -F.col("_rq") - F.col("_rs")).otherwise(F.col("_rr"))
-    key = (q + F.lit(_KEY_OFFSET)) * F.lit(_KEY_SPAN) + r + F.lit(_KEY_OFFSET)
+    q = "if(_dq > _dr AND _dq > _ds, -_rr - _rs, _rq)"
+    r = "if(NOT (_dq > _dr AND _dq > _ds) AND _dr > _ds, -_rq - _rs, _rr)"
+    key = f"({q} + {_KEY_OFFSET}L) * {_KEY_SPAN}L + {r} + {_KEY_OFFSET}L"
     # Rows without a position are gone, so the fallback never shows. It makes the key non-NULL by
     # type: otherwise every join on a cell would add a NULL check, and the optimizer would push
     # that check, with all of the arithmetic above inlined into it, down to the scan.
-    return errors.select(*keep, F.coalesce(key, F.lit(-1)).alias(out))
+    return errors.selectExpr(
+        "* EXCEPT (_rq, _rr, _rs, _dq, _dr, _ds)", f"coalesce({key}, -1L) AS {out}"
+    )
 
 
 def with_cell_key(df: DataFrame, resolution: int, out: str) -> DataFrame:
     """Add the BIGINT cell key of each position at one resolution."""
-    return with_hexagon_key(with_plane_position(df), F.lit(side_km(resolution)), out)
+    return with_hexagon_key(with_plane_position(df), f"{side_km(resolution)!r}D", out)
 
 
-def cell_name(key: Column, resolution: int) -> Column:
+def cell_name(key: str, resolution: int) -> Column:
     """Readable id of a cell key."""
-    q = F.shiftright(key, 31) - F.lit(_KEY_OFFSET)
-    r = key.bitwiseAND(F.lit(_KEY_SPAN - 1)) - F.lit(_KEY_OFFSET)
-    return F.concat(F.lit(f"{resolution}_"), q.cast("string"), F.lit("_"), r.cast("string"))
-
-
-def neighbours(cell: Column) -> Column:
-    """The six adjacent cells of a cell id, as an array of ids."""
-    part = F.split(cell, "_")
-    q, r = part[1].cast("int"), part[2].cast("int")
-    return F.array(
-        *[
-            F.concat(
-                part[0],
-                F.lit("_"),
-                (q + F.lit(dq)).cast("string"),
-                F.lit("_"),
-                (r + F.lit(dr)).cast("string"),
-            )
-            for dq, dr in AXIAL_STEPS
-        ]
+    return F.expr(
+        f"concat('{resolution}_', cast(shiftright({key}, 31) - {_KEY_OFFSET}L AS string), '_', "
+        f"cast(({key} & {_KEY_SPAN - 1}L) - {_KEY_OFFSET}L AS string))"
+    )
+
+
+def to_adjacent(df: DataFrame, cell: str, out: str, with_self: bool = False) -> DataFrame:
+    """Each row once per adjacent cell, whose id becomes `out`; `_own` marks the cell itself."""
+    steps = (((0, 0),) if with_self else ()) + AXIAL_STEPS
+    offsets = ", ".join(f"named_struct('_dq', {dq}, '_dr', {dr})" for dq, dr in steps)
+    parts = df.selectExpr(
+        "*",
+        f"split_part({cell}, '_', 1) AS _step",
+        f"cast(split_part({cell}, '_', 2) AS int) AS _q",
+        f"cast(split_part({cell}, '_', 3) AS int) AS _r",
+        f"inline(array({offsets}))",
+    )
+    return parts.selectExpr(
+        "* EXCEPT (_step, _q, _r, _dq, _dr)",
+        "concat(_step, '_', cast(_q + _dq AS string), '_', cast(_r + _dr AS string)) AS " + out,
+        "_dq = 0 AND _dr = 0 AS _own",
     )
 
 
-def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def great_circle_km_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Haversine distance."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / F.lit(2.0))
-    half_lon = F.sin(F.radians(lon2 - lon1) / F.lit(2.0))
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    half_lat = f"sin(radians({lat2} - {lat1}) / 2D)"
+    half_lon = f"sin(radians({lon2} - {lon1}) / 2D)"
+    across = f"cos(radians({lat1})) * cos(radians({lat2})) * {half_lon} * {half_lon}"
+    return f"{2.0 * EARTH_RADIUS_KM!r}D * asin(sqrt(least(1D, {half_lat} * {half_lat} + {across})))"

@@ -104,18 +104,15 @@ def resolution_sweep(
 
     The reports are read and projected once; only the binning is repeated per resolution.
     """
-    steps = F.array(
-        *[
-            F.struct(F.lit(r).alias("resolution"), F.lit(side_km(r)).alias("side_km"))
-            for r in resolutions
-        ]
+    steps = ", ".join(
+        f"named_struct('resolution', {r}, 'side_km', {side_km(r)!r}D)" for r in resolutions
     )
     needed = cruise_filter(observations, rules).select(
         "observed_at", "hex", "lat", "lon", "nic", "nac_p"
     )
     placed = with_plane_position(with_slot(needed, rules)).filter(F.col("hex").isNotNull())
     binned = with_hexagon_key(
-        placed.select("*", F.inline(steps)), F.col("side_km"), CELL_KEY
+        placed.selectExpr("*", f"inline(array({steps}))"), "side_km", CELL_KEY
     )
     # The report's NACp plays no part in this summary.
     reports = binned.groupBy("resolution", "side_km", CELL_KEY, SLOT, "hex").agg(

@@ -20,7 +20,7 @@ def cruise_filter(observations: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
 
 def with_slot(observations: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Recompute the slot from the report time; a stored slot is never trusted."""
-    return observations.withColumn(SLOT, slot_floor(F.col("observed_at"), rules))
+    return observations.withColumn(SLOT, slot_floor("observed_at", rules))
 
 
 def assign_cells(
@@ -29,7 +29,7 @@ def assign_cells(
     """Attach the cell id and the hourly slot to the reports that have a position."""
     step = rules.grid_resolution if resolution is None else resolution
     keyed = with_cell_key(with_slot(observations, rules), step, CELL_KEY)
-    return keyed.withColumn(CELL, cell_name(F.col(CELL_KEY), step)).drop(CELL_KEY)
+    return keyed.withColumn(CELL, cell_name(CELL_KEY, step)).drop(CELL_KEY)
 
 
 def report_rank(rules: Rules) -> Column:
@@ -39,18 +39,16 @@ def report_rank(rules: Rules) -> Column:
     code-generated hash aggregate; a minimum over a struct would sort every partition first.
     """
     unit = -(-rules.slot_micros // (1 << 32))
-    inside = F.floor(F.pmod(F.unix_micros("observed_at"), F.lit(rules.slot_micros)) / F.lit(unit))
-    return (
-        F.shiftleft(F.col("nic").cast("smallint").cast("bigint"), 48)
-        + F.shiftleft(inside.cast("bigint"), 16)
-        + F.col("nac_p").cast("smallint").cast("bigint")
-        + F.lit(32768)
+    inside = f"pmod(unix_micros(observed_at), {rules.slot_micros}L) div {unit}"
+    return F.expr(
+        "shiftleft(cast(cast(nic AS smallint) AS bigint), 48)"
+        f" + shiftleft({inside}, 16) + cast(nac_p AS smallint) + 32768L"
     )
 
 
-def rank_nac_p(rank: str) -> Column:
+def rank_nac_p_sql(rank: str) -> str:
     """The NACp inside a packed rank."""
-    return (F.col(rank).bitwiseAND(F.lit(65535)) - F.lit(32768)).cast("int")
+    return f"cast(({rank} & 65535L) - 32768L AS int)"
 
 
 def worst_reports(
@@ -71,7 +69,7 @@ def worst_reports(
             SLOT,
             "hex",
             "nic",
-            rank_nac_p("_rank").alias("nac_p"),
+            F.expr(rank_nac_p_sql("_rank")).alias("nac_p"),
         )
     )
 
@@ -100,6 +98,27 @@ def worst_report_rows(observations: DataFrame, rules: Rules = DEFAULT_RULES) ->
     )
 
 
+def summary_aggregates(rules: Rules, nac_p: str = "nac_p") -> dict[str, str]:
+    """The aggregates of a cell hour over one row per aircraft."""
+    return {
+        "aircraft_count": "cast(count(1) AS int)",
+        "degraded_share": f"avg(cast(nic < {rules.nic_degraded_below} AS double))",
+        "_nic": "percentile(nic, array(0.5D, 0.25D))",
+        "mean_nac_p": f"avg(cast({nac_p} AS double))",
+    }
+
+
+def labelled_columns(rules: Rules) -> list[str]:
+    return [
+        "aircraft_count",
+        "degraded_share",
+        "_nic[0] AS median_nic",
+        "_nic[1] AS p25_nic",
+        "mean_nac_p",
+        f"cast(degraded_share >= {rules.degraded_share_from!r}D AS int) AS is_degraded",
+    ]
+
+
 def summarise_cells(
     reports: DataFrame,
     cell: str = CELL,
@@ -108,34 +127,13 @@ def summarise_cells(
     extra_keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Aggregate one-row-per-aircraft reports to (cell, slot) rows with share and label."""
-    quantiles = F.percentile("nic", F.array(F.lit(0.5), F.lit(0.25)))
-    grouped = (
-        reports.groupBy(*extra_keys, cell, SLOT)
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("aircraft_count"),
-            F.avg((F.col("nic") < F.lit(rules.nic_degraded_below)).cast("double")).alias(
-                "degraded_share"
-            ),
-            quantiles.alias("_nic"),
-            F.avg(F.col("nac_p").cast("double")).alias("mean_nac_p"),
-        )
-        .select(
-            *extra_keys,
-            cell,
-            SLOT,
-            "aircraft_count",
-            "degraded_share",
-            F.col("_nic")[0].alias("median_nic"),
-            F.col("_nic")[1].alias("p25_nic"),
-            "mean_nac_p",
-            (F.col("degraded_share") >= F.lit(rules.degraded_share_from))
-            .cast("int")
-            .alias("is_degraded"),
-        )
+    grouped = reports.groupBy(*extra_keys, cell, SLOT).agg(
+        *[F.expr(sql).alias(name) for name, sql in summary_aggregates(rules).items()]
     )
+    labelled = grouped.selectExpr(*extra_keys, cell, SLOT, *labelled_columns(rules))
     if traffic_floor:
-        grouped = grouped.filter(F.col("aircraft_count") >= F.lit(rules.min_aircraft))
-    return grouped
+        labelled = labelled.filter(f"aircraft_count >= {rules.min_aircraft}")
+    return labelled
 
 
 def aggregate_cells(
@@ -166,7 +164,7 @@ def cell_hourly(
         worst_reports(keyed, CELL_KEY, rules), CELL_KEY, rules, traffic_floor
     )
     return summary.select(
-        cell_name(F.col(CELL_KEY), step).alias(CELL), SLOT, *CELL_VALUES
+        cell_name(CELL_KEY, step).alias(CELL), SLOT, *CELL_VALUES
     )
 
 

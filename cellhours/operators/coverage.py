@@ -70,11 +70,11 @@ def capture_watchdog(
 def gap_report(coverage: DataFrame) -> DataFrame:
     """Days with missing hours and the list of those hours (at most 24 per day)."""
     missing = coverage.filter(F.col("observations") == 0)
-    return missing.groupBy(utc_date(F.col(SLOT)).alias("date")).agg(
+    return missing.groupBy(utc_date(SLOT).alias("date")).agg(
         F.count(F.lit(1)).alias("missing_hours"),
         F.array_join(
             F.transform(
-                F.sort_array(F.collect_list(hour_of_day(F.col(SLOT)))),
+                F.sort_array(F.collect_list(hour_of_day(SLOT))),
                 lambda h: F.lpad(h.cast("string"), 2, "0"),
             ),
             ",",

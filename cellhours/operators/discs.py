@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.functions.grid import EARTH_RADIUS_KM, NAUTICAL_MILE_KM, great_circle_km
+from cellhours.functions.grid import EARTH_RADIUS_KM, NAUTICAL_MILE_KM, great_circle_km_sql
 from cellhours.schemas import CELL
 
 
@@ -48,13 +48,12 @@ def disc_membership(observations: DataFrame, points: DataFrame) -> DataFrame:
     """
     tiled = observations.withColumns(
         {
-            "lat_tile": F.floor("lat"),
-            "lon_tile": F.pmod(F.floor(F.col("lon") + 180.0), F.lit(360)),
+            "lat_tile": F.expr("floor(lat)"),
+            "lon_tile": F.expr("pmod(floor(lon + 180D), 360L)"),
         }
     )
-    distance = great_circle_km(
-        F.col("disc_lat"), F.col("disc_lon"), F.col("lat"), F.col("lon")
-    ) / F.lit(NAUTICAL_MILE_KM)
+    apart = great_circle_km_sql("disc_lat", "disc_lon", "lat", "lon")
+    distance = F.expr(f"{apart} / {NAUTICAL_MILE_KM}D")
     return (
         tiled.join(_disc_tiles(points), ["lat_tile", "lon_tile"])
         .withColumn("distance_nm", distance)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.functions.timeslots import hour_index, hour_of_day, plus_hours, utc_date
+from cellhours.functions.timeslots import hour_index, hour_of_day, plus_minutes, utc_date
 from cellhours.operators.ordering import running_totals
 from cellhours.schemas import CELL, KEYS, LABEL, SLOT, TARGET
 
@@ -23,13 +23,13 @@ def chrono_split(
     has hours. A row whose target lies beyond its segment's end belongs to no segment, so no
     example straddles a boundary.
     """
-    hours = features.agg(F.sort_array(F.collect_set(hour_index(F.col(SLOT)))).alias("h")).scalar()
+    hours = features.agg(F.sort_array(F.collect_set(hour_index(SLOT))).alias("h")).scalar()
 
     def cut(percent: int) -> Column:
         position = F.ceil(F.size(hours) * F.lit(percent) / F.lit(100)).cast("int")
         return F.element_at(hours, F.greatest(F.lit(1), position))
 
-    now = hour_index(F.col(SLOT))
+    now = hour_index(SLOT)
     later = now + F.lit(rules.horizon_hours)
     first, second = cut(train_percent), cut(train_percent + validation_percent)
     segment = (
@@ -52,7 +52,7 @@ def climatology(train: DataFrame, rows: DataFrame) -> DataFrame:
     Falls back to the cell's rate, then to the overall rate. The three levels come from one
     aggregation of the training rows.
     """
-    hour = hour_of_day(F.col(SLOT)).alias("_hour")
+    hour = hour_of_day(SLOT).alias("_hour")
     base = train.groupBy(CELL, hour).agg(
         F.sum(TARGET).alias("_pos"), F.count(TARGET).alias("_n")
     )
@@ -70,7 +70,7 @@ def climatology(train: DataFrame, rows: DataFrame) -> DataFrame:
     )
     overall = base.agg((F.sum("_pos") / F.sum("_n")).alias("r")).scalar()
     return (
-        rows.withColumn("_hour", hour_of_day(F.col(SLOT)))
+        rows.withColumn("_hour", hour_of_day(SLOT))
         .join(by_cell, CELL, "left")
         .withColumn(
             "score",
@@ -145,14 +145,14 @@ def lagged_accuracy(
 ) -> DataFrame:
     """Accuracy per day of the forecasts whose target hour has been observed by now."""
     due = forecasts.select(
-        CELL, plus_hours(F.col(SLOT), rules.horizon_hours).alias(SLOT), "score"
+        CELL, plus_minutes(F.col(SLOT), rules.horizon_hours * 60).alias(SLOT), "score"
     )
     outcome = cells.select(*KEYS, F.col(LABEL).alias("_was"))
     error = F.col("score") - F.col("_was")
     right = (F.col("score") >= F.lit(threshold)).cast("int") == F.col("_was")
     return (
         due.join(outcome, KEYS)
-        .groupBy(utc_date(F.col(SLOT)).alias("date"))
+        .groupBy(utc_date(SLOT).alias("date"))
         .agg(
             F.count(F.lit(1)).alias("scored_rows"),
             F.avg(right.cast("double")).alias("accuracy"),

@@ -22,7 +22,7 @@ def health_transitions(runs: DataFrame) -> DataFrame:
     ended = runs.filter(F.col("status") != "running").withColumn(
         "healthy", F.col("status") == "ok"
     )
-    day = utc_date(F.col("slot_start"))
+    day = utc_date("slot_start")
     walked = with_previous(ended, day, _ORDER, F.col("healthy"), "_was_healthy")
     edges = walked.filter(
         F.col("healthy") != F.coalesce(F.col("_was_healthy"), F.lit(True))
@@ -30,7 +30,7 @@ def health_transitions(runs: DataFrame) -> DataFrame:
     # Edges alternate, so a recovery's predecessor is the edge that began the outage.
     dated = with_previous(edges, day, _ORDER, F.col("slot_start"), "_edge_before")
     since = F.when(F.col("healthy"), F.col("_edge_before")).otherwise(F.col("slot_start"))
-    slot = utc_text(F.col("slot_start"), _STAMP)
+    slot = utc_text("slot_start", _STAMP)
     discs = F.concat(
         F.lit("Slot "),
         slot,
@@ -48,7 +48,7 @@ def health_transitions(runs: DataFrame) -> DataFrame:
     healed = F.concat(
         discs,
         F.lit(" again (degraded since "),
-        utc_text(F.col("degraded_since"), _STAMP),
+        utc_text("degraded_since", _STAMP),
         F.lit(" UTC)."),
     )
     return dated.withColumn("degraded_since", since).select(

@@ -129,7 +129,7 @@ def _legacy_folder(spark: SparkSession, sf_dir: str) -> str:
     """The fixture's cruise reports in the layout of the earlier history."""
     root = run_folder(spark, "legacy")
     reports = cells.cruise_filter(_obs(spark, sf_dir)).drop("slot_start", "ingest_run_id")
-    dated = reports.withColumn("date", utc_date(F.col("observed_at")))
+    dated = reports.withColumn("date", utc_date("observed_at"))
     dated.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(root)
     return root
 
@@ -460,7 +460,7 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def runs_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.runs_by_status(_runs(spark, sf_dir), utc_date(F.col(SLOT)))
+    return runs.runs_by_status(_runs(spark, sf_dir), utc_date(SLOT))
 
 
 @query

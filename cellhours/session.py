@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
+# Only at session start. Recording the Python call site of every column costs more than
+# building the plan does.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the run-time SQL settings on an existing session."""
@@ -30,7 +34,7 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,23 +7,27 @@ which nothing was captured, and copies of reports seen by a second, overlapping
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellhours.functions.timeslots import (
-    hour_index,
-    hour_start,
-    instant_from_utc,
-    plus_minutes,
-    slot_floor,
-)
+from cellhours.functions.timeslots import hour_index_sql, instant_from_utc, slot_floor
 from cellhours.schemas import INGEST_RUNS, OBSERVATIONS
 
-REPORTS_PER_EVENT = 12
-SITES = 12
-OUTAGE_PERIOD = 37
-OUTAGE_HOURS = (5, 6)
-OPEN_RUN_PERIOD = 50
+# What report `i` of an event looks like, given its `site` and its event hour.
+_HEX = "concat('u', user_id, '_', i)"
+_SITE_LAT = "50D + (site % 4) * 2.5D"
+_SITE_LON = "10D + (site div 4) * 4D"
+_LAT = f"{_SITE_LAT} + ((event_id * 31 + i * 7) % 100) / 200D"
+_LON = f"{_SITE_LON} + ((event_id * 17 + i * 3) % 100) / 200D"
+_FEET = "15000L + ((event_id * 13 + i * 997) % 250) * 100"
+_NIC = (
+    "if(((event_hour div 8) + site) % 7 = 0 AND (event_id + i) % 3 <> 0, "
+    "(event_id + i) % 7, 7 + (event_id + i) % 5)"
+)
+_NAC_P = "if((event_id * 5 + i) % 13 <> 0, 8 + i % 4, NULL)"
+# Hours in which nothing was captured, and sweeps that never recorded their end.
+_OUTAGE = "% 37 IN (5, 6)"
+_OPEN_RUN = "% 50 = 0"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,93 +40,77 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     if events.rdd.getNumPartitions() < cores:
         events = events.repartition(cores, "event_id")
     return events.select(
-        "event_id", "user_id", "event_type", instant_from_utc(F.col("ts")).alias("event_at")
-    )
-
-
-def _site_lat(site: Column) -> Column:
-    return F.lit(50.0) + (site % 4) * F.lit(2.5)
-
-
-def _site_lon(site: Column) -> Column:
-    return F.lit(10.0) + F.floor(site / 4) * F.lit(4.0)
+        "event_id", "user_id", "event_type", instant_from_utc("ts").alias("event_at")
+    ).selectExpr("*", "event_id % 12 AS site", f"{hour_index_sql('event_at')} AS event_hour")
 
 
-def _site_bit() -> Column:
-    return F.call_function("shiftleft", F.lit(1), F.col("site").cast("int"))
-
-
-def _report_columns(i: Column, site: Column, hour: Column) -> dict[str, Column]:
-    """Values of report `i` of an event at `site` in the event hour `hour`."""
-    event = F.col("event_id")
-    jammed = ((F.floor(hour / 8) + site) % 7 == 0) & ((event + i) % 3 != 0)
-    return {
-        "hex": F.concat(F.lit("u"), F.col("user_id"), F.lit("_"), i),
-        "lat": _site_lat(site) + ((event * 31 + i * 7) % 100) / F.lit(200.0),
-        "lon": _site_lon(site) + ((event * 17 + i * 3) % 100) / F.lit(200.0),
-        "altitude_ft": F.when(
-            (event + i) % 11 != 0, F.lit(15000.0) + ((event * 13 + i * 997) % 250) * F.lit(100.0)
-        ),
-        "nic": F.when(jammed, (event + i) % 7).otherwise(F.lit(7) + (event + i) % 5),
-        "nac_p": F.when((event * 5 + i) % 13 != 0, F.lit(8) + i % 4),
-    }
+def _fanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr("*", "explode(sequence(0L, 11L)) AS i")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw reports at all altitudes, with capture outages and overlapping discs."""
-    site = F.col("event_id") % SITES
-    fanned = _events(spark, sf_dir).select(
-        "*",
-        F.explode(F.sequence(F.lit(0), F.lit(REPORTS_PER_EVENT - 1))).alias("i"),
-        site.alias("site"),
-        hour_index(F.col("event_at")).alias("event_hour"),
-    )
-    reports = fanned.select(
+    reports = _fanned(spark, sf_dir).selectExpr(
         "event_id",
         "site",
-        plus_minutes(F.col("event_at"), F.col("i")).alias("observed_at"),
-        F.col("event_type").alias("aircraft_type"),
-        *[
-            c.alias(name)
-            for name, c in _report_columns(F.col("i"), F.col("site"), F.col("event_hour")).items()
-        ],
-    )
-    captured = reports.filter(
-        ~(hour_index(F.col("observed_at")) % OUTAGE_PERIOD).isin(*OUTAGE_HOURS)
-    )
+        "timestamp_micros(unix_micros(event_at) + i * 60000000L) AS observed_at",
+        "event_type AS aircraft_type",
+        f"{_HEX} AS hex",
+        f"{_LAT} AS lat",
+        f"{_LON} AS lon",
+        f"if((event_id + i) % 11 <> 0, cast({_FEET} AS double), NULL) AS altitude_ft",
+        f"{_NIC} AS nic",
+        f"{_NAC_P} AS nac_p",
+    )
+    captured = reports.filter(f"NOT ({hour_index_sql('observed_at')} {_OUTAGE})")
     # Every tenth event is also heard by the next disc.
-    discs = F.when(
-        F.col("event_id") % 10 == 0, F.array(F.col("site"), (F.col("site") + 1) % SITES)
-    ).otherwise(F.array(F.col("site")))
-    heard = captured.withColumn("disc", F.explode(discs)).withColumn(
-        "slot_start", slot_floor(F.col("observed_at"))
-    )
-    named = heard.withColumns(
-        {
-            "sil": F.lit(3),
-            "sample_point": F.concat(F.lit("p"), F.col("disc")),
-            "is_control_region": F.col("disc") % 3 == 0,
-            "ingest_run_id": F.concat(F.lit("run-"), hour_index(F.col("slot_start"))),
-        }
+    heard = captured.selectExpr(
+        "*",
+        "explode(if(event_id % 10 = 0, array(site, (site + 1) % 12), array(site))) AS disc",
+    ).withColumn("slot_start", slot_floor("observed_at"))
+    named = heard.selectExpr(
+        "*",
+        "3 AS sil",
+        "concat('p', disc) AS sample_point",
+        "disc % 3 = 0 AS is_control_region",
+        f"concat('run-', {hour_index_sql('slot_start')}) AS ingest_run_id",
     )
-    return named.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBSERVATIONS.fields]
+    return named.selectExpr(
+        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in OBSERVATIONS]
     )
 
 
 def sample_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The discs that occur in the events, as a small dimension table."""
-    site = (F.col("event_id") % SITES).alias("site")
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select(site)
+        .selectExpr("event_id % 12 AS site")
         .distinct()
-        .select(
-            F.concat(F.lit("p"), F.col("site")).alias("name"),
-            _site_lat(F.col("site")).alias("lat"),
-            _site_lon(F.col("site")).alias("lon"),
-            F.lit(250.0).alias("radius_nm"),
-            (F.col("site") % 3 == 0).alias("control"),
+        .selectExpr(
+            "concat('p', site) AS name",
+            f"{_SITE_LAT} AS lat",
+            f"{_SITE_LON} AS lon",
+            "250D AS radius_nm",
+            "site % 3 = 0 AS control",
+        )
+    )
+
+
+def _answers_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per hour with events: which sites had one, as a bit set, and how many reports."""
+    return (
+        _events(spark, sf_dir)
+        .groupBy("event_hour")
+        .agg(
+            F.expr("bit_or(shiftleft(1, cast(site AS int)))").alias("answered"),
+            F.expr("count(1) * 12").alias("reports"),
+        )
+        .selectExpr(
+            "event_hour AS hour",
+            f"if(event_hour {_OUTAGE}, 0, answered) AS answered",
+            "reports",
+            "timestamp_seconds(event_hour * 3600L) AS slot_start",
+            "concat('run-', event_hour) AS run_id",
         )
     )
 
@@ -132,137 +120,87 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A disc without an event in the hour counts as a failed poll; in an outage hour all fail.
     """
-    hours = (
-        _events(spark, sf_dir)
-        .select(
-            hour_index(F.col("event_at")).alias("hour"), (F.col("event_id") % SITES).alias("site")
+    return (
+        _answers_per_hour(spark, sf_dir)
+        .selectExpr("*", "explode(sequence(0, 11)) AS seq")
+        .selectExpr(
+            "run_id",
+            "slot_start",
+            "seq",
+            "concat('p', seq) AS sample_point",
+            "getbit(answered, seq) = 1 AS ok",
+            "if(getbit(answered, seq) = 1, NULL, concat('no answer from p', seq)) AS error",
         )
-        .groupBy("hour")
-        .agg(F.bit_or(_site_bit()).alias("answered"))
-    )
-    out = (F.col("hour") % OUTAGE_PERIOD).isin(*OUTAGE_HOURS)
-    each = hours.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(SITES - 1))).alias("seq")
-    ).withColumn(
-        "ok",
-        ~out & (F.getbit(F.col("answered"), F.col("seq")) == 1),
-    )
-    return each.select(
-        F.concat(F.lit("run-"), F.col("hour")).alias("run_id"),
-        hour_start(F.col("hour")).alias("slot_start"),
-        "seq",
-        F.concat(F.lit("p"), F.col("seq")).alias("sample_point"),
-        "ok",
-        F.when(~F.col("ok"), F.concat(F.lit("no answer from p"), F.col("seq"))).alias("error"),
     )
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit log as written: a `running` record per sweep, then its outcome.
 
-    Every fiftieth sweep never recorded its end.
+    Every fiftieth sweep never recorded its end. A later record carries a later start, which
+    must not win.
     """
-    hourly = (
-        _events(spark, sf_dir)
-        .select(
-            hour_index(F.col("event_at")).alias("hour"), (F.col("event_id") % SITES).alias("site")
-        )
-        .groupBy("hour")
-        .agg(
-            F.bit_or(_site_bit()).alias("answered"),
-            (F.count(F.lit(1)) * REPORTS_PER_EVENT).alias("reports"),
-        )
-    )
-    out = (F.col("hour") % OUTAGE_PERIOD).isin(*OUTAGE_HOURS)
-    closed = F.col("hour") % OPEN_RUN_PERIOD != 0
-    answered = F.when(out, 0).otherwise(F.bit_count("answered"))
-    steps = F.when(closed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    log = hourly.select(
-        "hour", answered.alias("answered"), "reports", F.explode(steps).alias("seq")
-    )
-    ended = F.col("seq") == 1
-    started = hour_start(F.col("hour"))
-    outcome = (
-        F.when(~ended, "running")
-        .when(F.col("answered") == 0, "failed")
-        .when(F.col("answered") < SITES, "partial")
-        .otherwise("ok")
+    log = _answers_per_hour(spark, sf_dir).selectExpr(
+        "*",
+        "bit_count(answered) AS discs",
+        f"explode(if(hour {_OPEN_RUN}, array(0), array(0, 1))) AS seq",
     )
     columns = {
-        "run_id": F.concat(F.lit("run-"), F.col("hour")),
-        # A late record carries its own clock; the first one must win.
-        "started_at": plus_minutes(started, F.col("seq")),
-        "finished_at": F.when(ended, plus_minutes(started, 7)),
-        "slot_start": started,
-        "points_attempted": F.lit(SITES),
-        "points_succeeded": F.when(ended, F.col("answered")).otherwise(0),
-        "aircraft_written": F.when(ended & (F.col("answered") > 0), F.col("reports")).otherwise(0),
-        "status": outcome,
-        "error": F.when(
-            ended & (F.col("answered") < SITES),
-            F.concat((F.lit(SITES) - F.col("answered")).cast("string"), F.lit(" discs silent")),
+        "run_id": "run_id",
+        "started_at": "slot_start + make_dt_interval(0, 0, seq)",
+        "finished_at": "if(seq = 1, slot_start + make_dt_interval(0, 0, 7), NULL)",
+        "slot_start": "slot_start",
+        "points_attempted": "12",
+        "points_succeeded": "if(seq = 1, discs, 0)",
+        "aircraft_written": "if(seq = 1 AND discs > 0, reports, 0)",
+        "status": (
+            "CASE WHEN seq = 0 THEN 'running' WHEN discs = 0 THEN 'failed' "
+            "WHEN discs < 12 THEN 'partial' ELSE 'ok' END"
         ),
+        "error": "if(seq = 1 AND discs < 12, concat(12 - discs, ' discs silent'), NULL)",
     }
-    return log.select(
+    return log.selectExpr(
         "seq",
-        *[columns[f.name].cast(f.dataType).alias(f.name) for f in INGEST_RUNS.fields],
+        *[
+            f"cast({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in INGEST_RUNS
+        ],
     )
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed answers as JSON text, one poll per event, with every altitude spelling.
+    """Feed answers as JSON text, one aircraft per answer, with every altitude spelling.
 
     Some aircraft lack a position or a NIC. The altitude is a number, "ground", null, absent,
     numeric text, true or a literal 0.
     """
-    i = F.col("i")
-    site = F.col("site")
-    event = F.col("event_id")
-    values = _report_columns(i, site, F.col("event_hour"))
-    kind = (event + i) % 11
-    number = (F.lit(15000) + ((event * 13 + i * 997) % 250) * 100).cast("string")
     altitude = (
-        F.when(kind == 0, '"ground"')
-        .when(kind == 1, "null")
-        .when(kind == 3, F.concat(F.lit('"'), number, F.lit('"')))
-        .when(kind == 4, "true")
-        .when(kind == 5, "0")
-        .when(kind == 6, F.concat(number, F.lit(".5")))
-        .otherwise(number)
-    )
-
-    def member(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f', "{name}": '), value.cast("string"))
-
-    def optional(present: Column, text: Column) -> Column:
-        return F.when(present, text).otherwise(F.lit(""))
-
-    aircraft = F.concat(
-        F.lit('{"hex": "'),
-        values["hex"],
-        F.lit('"'),
-        optional((event + i) % 17 != 0, member("lat", values["lat"])),
-        member("lon", values["lon"]),
-        optional((event + i) % 19 != 0, member("nic", values["nic"])),
-        optional((event * 5 + i) % 13 != 0, member("nac_p", F.lit(8) + i % 4)),
-        member("sil", F.lit(3)),
-        F.lit(', "t": "'),
-        F.col("event_type"),
-        F.lit('"'),
-        optional(kind != 2, member("alt_baro", altitude)),
-        F.lit("}"),
-    )
-    base = _events(spark, sf_dir).select(
-        "*",
-        (event % SITES).alias("site"),
-        hour_index(F.col("event_at")).alias("event_hour"),
-        F.explode(F.sequence(F.lit(0), F.lit(REPORTS_PER_EVENT - 1))).alias("i"),
-    )
-    # One aircraft per answer keeps this adapter free of a shuffle.
-    return base.select(
-        F.col("event_at").alias("observed_at"),
-        F.concat(F.lit("p"), site).alias("sample_point"),
-        (site % 3 == 0).alias("is_control_region"),
-        F.concat(F.lit("run-"), F.col("event_hour")).alias("ingest_run_id"),
-        F.concat(F.lit('{"now": 1, "ac": ['), aircraft, F.lit("]}")).alias("body"),
+        "CASE (event_id + i) % 11 "
+        "WHEN 0 THEN '\"ground\"' WHEN 1 THEN 'null' "
+        f"WHEN 3 THEN concat('\"', {_FEET}, '\"') WHEN 4 THEN 'true' WHEN 5 THEN '0' "
+        f"WHEN 6 THEN concat({_FEET}, '.5') ELSE cast({_FEET} AS string) END"
+    )
+    members = [
+        ("lat", _LAT, "(event_id + i) % 17 <> 0"),
+        ("lon", _LON, None),
+        ("nic", _NIC, "(event_id + i) % 19 <> 0"),
+        ("nac_p", "8 + i % 4", "(event_id * 5 + i) % 13 <> 0"),
+        ("sil", "3", None),
+        ("alt_baro", altitude, "(event_id + i) % 11 <> 2"),
+    ]
+    texts = []
+    for name, value, present in members:
+        text = f"concat(', \"{name}\": ', {value})"
+        texts.append(f"if({present}, {text}, '')" if present else text)
+    body = (
+        f"concat('{{\"now\": 1, \"ac\": [{{\"hex\": \"', {_HEX}, '\", \"t\": \"', event_type, '\"', "
+        + ", ".join(texts)
+        + ", '}]}')"
+    )
+    return _fanned(spark, sf_dir).selectExpr(
+        "event_at AS observed_at",
+        "concat('p', site) AS sample_point",
+        "site % 3 = 0 AS is_control_region",
+        "concat('run-', event_hour) AS ingest_run_id",
+        f"{body} AS body",
     )

@@ -39,10 +39,10 @@ def reshape_legacy(legacy: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     """
     if "aircraft_type" not in legacy.columns:
         legacy = legacy.withColumn("aircraft_type", F.lit(None).cast("string"))
-    slotted = legacy.withColumn("slot_start", slot_floor(F.col("observed_at"), rules))
+    slotted = legacy.withColumn("slot_start", slot_floor("observed_at", rules))
     tagged = slotted.withColumn(
         "ingest_run_id",
-        F.concat(F.lit(f"{RUN_PREFIX}-"), utc_text(F.col("slot_start"), "yyyyMMdd'T'HH")),
+        F.concat(F.lit(f"{RUN_PREFIX}-"), utc_text("slot_start", "yyyyMMdd'T'HH")),
     )
     return tagged.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBSERVATIONS.fields]

@@ -86,7 +86,7 @@ def absent_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
     if DATE in existing.columns:
         # Only the dates the batch touches can hold its keys. The two bounds are a scalar
         # subquery, which prunes partitions when the scan starts.
-        day = utc_date(F.col("slot_start"))
+        day = utc_date("slot_start")
         span = batch.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
         stored = existing.filter(
             F.col(DATE).between(span.getField("lo"), span.getField("hi"))
@@ -99,7 +99,7 @@ def append_if_absent(batch: DataFrame, path: str) -> int:
     spark = batch.sparkSession
     columns = [f.name for f in OBSERVATIONS.fields]
     fresh = absent_rows(batch.select(*columns), stored_observations(spark, path))
-    dated = fresh.withColumn(DATE, utc_date(F.col("slot_start")))
+    dated = fresh.withColumn(DATE, utc_date("slot_start"))
     # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
     # count is taken from the writing stage, whose tasks count once even after a lost executor.
     written = Observation()

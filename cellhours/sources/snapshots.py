@@ -42,7 +42,7 @@ def flatten_snapshots(
     )
     named = usable.withColumns(
         {
-            "slot_start": slot_floor(F.col("observed_at"), rules),
+            "slot_start": slot_floor("observed_at", rules),
             "altitude_ft": altitude_ft(F.col("alt_baro")),
             "aircraft_type": F.col("t"),
         }

@@ -8,7 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.grid import cell_name, with_cell_key
-from cellhours.operators.cells import CELL_KEY, cruise_filter, rank_nac_p, report_rank
+from cellhours.operators.cells import (
+    CELL_KEY,
+    cruise_filter,
+    labelled_columns,
+    rank_nac_p_sql,
+    report_rank,
+    summary_aggregates,
+)
 from cellhours.schemas import CELL, CELL_VALUES, SLOT
 
 
@@ -28,29 +35,16 @@ def stream_cell_hourly(observations: DataFrame, rules: Rules = DEFAULT_RULES) ->
     worst = keyed.groupBy(F.window("observed_at", width), CELL_KEY, "hex").agg(
         F.min("nic").alias("nic"), F.min(report_rank(rules)).alias("_rank")
     )
+    aggregates = summary_aggregates(rules, nac_p=rank_nac_p_sql("_rank"))
     summary = worst.groupBy(
         F.window(F.window_time("window"), width).alias("hour"), CELL_KEY
-    ).agg(
-        F.count(F.lit(1)).cast("int").alias("aircraft_count"),
-        F.avg((F.col("nic") < F.lit(rules.nic_degraded_below)).cast("double")).alias(
-            "degraded_share"
-        ),
-        F.percentile("nic", F.array(F.lit(0.5), F.lit(0.25))).alias("_nic"),
-        F.avg(rank_nac_p("_rank").cast("double")).alias("mean_nac_p"),
-    )
+    ).agg(*[F.expr(sql).alias(name) for name, sql in aggregates.items()])
     labelled = summary.select(
-        cell_name(F.col(CELL_KEY), rules.grid_resolution).alias(CELL),
+        cell_name(CELL_KEY, rules.grid_resolution).alias(CELL),
         F.col("hour.start").alias(SLOT),
-        "aircraft_count",
-        "degraded_share",
-        F.col("_nic")[0].alias("median_nic"),
-        F.col("_nic")[1].alias("p25_nic"),
-        "mean_nac_p",
-        (F.col("degraded_share") >= F.lit(rules.degraded_share_from))
-        .cast("int")
-        .alias("is_degraded"),
+        *[F.expr(sql) for sql in labelled_columns(rules)],
     )
-    kept = labelled.filter(F.col("aircraft_count") >= F.lit(rules.min_aircraft))
+    kept = labelled.filter(f"aircraft_count >= {rules.min_aircraft}")
     return kept.select(CELL, SLOT, *CELL_VALUES)
 
 
