@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
+from cellhours.functions.timeslots import utc_date
 from cellhours.schemas import CELL, FEATURE_RUNS, SLOT, TARGET
+from cellhours.sources.observations import DATE
 from cellhours.sources.scratch import path_missing
 
 
@@ -31,19 +33,24 @@ def stage_features(
 ) -> DataFrame:
     """Write a build where no reader looks yet, and return it as stored.
 
-    Files hold ranges of slots, so a read of a time range skips the others.
+    Files are laid out by slot date, so a read of a time range skips the others. Rebalancing
+    needs no sampling pass over the features and splits a date that holds most of them.
     """
     path = build_path(root, run_id)
     tagged = features.withColumns(
-        {"feature_version": F.lit(rules.feature_version), "feature_run_id": F.lit(run_id)}
-    )
-    (
-        tagged.repartitionByRange(SLOT)
-        .sortWithinPartitions(SLOT, CELL)
-        .write.mode("overwrite")
-        .parquet(path)
+        {
+            "feature_version": F.lit(rules.feature_version),
+            "feature_run_id": F.lit(run_id),
+            DATE: utc_date(SLOT),
+        }
     )
-    return features.sparkSession.read.parquet(path)
+    balanced = tagged.hint("rebalance", F.col(DATE)).sortWithinPartitions(DATE, SLOT, CELL)
+    balanced.write.mode("overwrite").partitionBy(DATE).parquet(path)
+    return _stored_build(features.sparkSession, path)
+
+
+def _stored_build(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(DATE)
 
 
 def feature_run_summary(features: DataFrame) -> DataFrame:
@@ -113,12 +120,24 @@ def newest_run(spark: SparkSession, root: str) -> str | None:
     return None if row is None else row.run_id
 
 
-def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """The published feature table: the entry point for training."""
+def read_features(
+    spark: SparkSession,
+    root: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """The published feature table, the entry point for training; bounds are inclusive."""
     run_id = newest_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"no published feature build under {root}")
-    return spark.read.parquet(build_path(root, run_id))
+    rows = spark.read.parquet(build_path(root, run_id))
+    if start is not None:
+        rows = rows.filter(F.col(SLOT) >= F.lit(start)).filter(
+            F.col(DATE) >= utc_date(F.lit(start))
+        )
+    if end is not None:
+        rows = rows.filter(F.col(SLOT) <= F.lit(end)).filter(F.col(DATE) <= utc_date(F.lit(end)))
+    return rows.drop(DATE)
 
 
 def export_features(features: DataFrame, path: str) -> None:
