@@ -176,14 +176,23 @@ def _panel(cells: DataFrame, pairs: DataFrame | None) -> DataFrame:
             pairs.select(F.col("nbr_cell").alias(CELL), F.col(CELL).alias("_to")), CELL
         ).withColumn("_own", F.lit(False))
         sent = own.unionByName(others)
+    # A neighbour is only asked for share and label; NULLs in the rest compress to nothing.
+    shared = ["degraded_share", LABEL]
+    private = [c for c in CELL_VALUES if c not in shared]
+    moved = sent.selectExpr(
+        f"_to AS {CELL}",
+        SLOT,
+        "_own",
+        *shared,
+        *[f"if(_own, {c}, NULL) AS {c}" for c in private],
+    )
     seen = "NOT _own AND degraded_share IS NOT NULL"
     own_values = {c: f"max({c}) FILTER (WHERE _own)" for c in CELL_VALUES}
     received = {
         name: f"{sql} FILTER (WHERE {seen})" for name, sql in _NEIGHBOUR_AGGREGATES.items()
     }
     return (
-        sent.select(F.col("_to").alias(CELL), SLOT, "_own", *CELL_VALUES)
-        .repartition(CELL)
+        moved.repartition(CELL)
         .groupBy(*KEYS)
         .agg(*[F.expr(sql).alias(name) for name, sql in {**own_values, **received}.items()])
     )

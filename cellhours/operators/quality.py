@@ -48,7 +48,7 @@ def validate_features(features: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
     )
     rate_message = F.concat(
         F.lit("positive rate "),
-        F.coalesce(F.format_string("%.3f", rate), F.lit("nan")),
+        F.when(rate.isNull(), "nan").otherwise(F.format_string("%.3f", rate)),
         F.lit(
             f" outside the plausible {rules.positive_rate_low * 100:g}"
             f"-{rules.positive_rate_high * 100:g}% band"

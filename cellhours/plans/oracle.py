@@ -240,6 +240,12 @@ FROM located GROUP BY h3_cell, slot_start, hex""",
 )
 _add("worst_nic", "worst", sql="SELECT h3_cell, slot_start, hex, nic, nac_p FROM worst")
 _add("cell_hourly", "cells", sql=f"SELECT {CELL_COLUMNS} FROM cells")
+_add(
+    "read_cell_hourly",
+    "cells",
+    sql=f"""
+SELECT {CELL_COLUMNS} FROM cells WHERE slot_start BETWEEN {READ_FROM} AND {READ_TO}""",
+)
 _add(
     "collapse_runs",
     "cells",

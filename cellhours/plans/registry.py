@@ -286,6 +286,11 @@ def cell_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(spark, sf_dir)
 
 
+@query
+def read_cell_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.read_cell_hourly(_obs(spark, sf_dir), READ_FROM, READ_TO)
+
+
 @query
 def collapse_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell hours of two overlapping altitude floors, collapsed to one row per hour."""

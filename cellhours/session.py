@@ -11,6 +11,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Quantile buffers are small value counts, so hashing beats sorting far beyond 128 groups.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Streaming state lives on disk with incremental checkpoints, not in the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # Only at session start. Recording the Python call site of every column costs more than

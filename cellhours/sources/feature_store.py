@@ -46,11 +46,7 @@ def stage_features(
     )
     balanced = tagged.hint("rebalance", F.col(DATE)).sortWithinPartitions(DATE, SLOT, CELL)
     balanced.write.mode("overwrite").partitionBy(DATE).parquet(path)
-    return _stored_build(features.sparkSession, path)
-
-
-def _stored_build(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DATE)
+    return features.sparkSession.read.schema(tagged.schema).parquet(path).drop(DATE)
 
 
 def feature_run_summary(features: DataFrame) -> DataFrame:

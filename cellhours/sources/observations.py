@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import utc_date
+from cellhours.operators.cells import cell_hourly
 from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS
 from cellhours.sources.scratch import path_missing
 
@@ -46,7 +47,8 @@ def read_observations(
 
     On a stored table the bounds are repeated on the partition date, so whole folders are
     skipped. The order (slot, aircraft) is for people who look at the rows; jobs pass
-    ``ordered=False`` and save the sort.
+    ``ordered=False`` and save the sort. The rest of the key breaks ties, so that a sort range
+    can end between two reports of one aircraft.
     """
     rows = observations
     dated = DATE in observations.columns
@@ -61,7 +63,18 @@ def read_observations(
     if cruise_only:
         rows = rows.filter(F.col("altitude_ft") >= F.lit(rules.min_altitude_ft))
     rows = rows.select(*READ_COLUMNS)
-    return rows.orderBy("slot_start", "hex") if ordered else rows
+    return rows.orderBy(*OBSERVATION_KEY) if ordered else rows
+
+
+def read_cell_hourly(
+    observations: DataFrame,
+    start: datetime | Column | None = None,
+    end: datetime | Column | None = None,
+    rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """Cell hours of the reports within inclusive slot bounds."""
+    rows = read_observations(observations, start, end, rules=rules, ordered=False)
+    return cell_hourly(rows, rules)
 
 
 def first_per_key(rows: DataFrame, *order: str) -> DataFrame:

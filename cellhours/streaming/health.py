@@ -39,7 +39,8 @@ def emit_new_edges(batch: DataFrame, log: str, alerts: str) -> None:
             raise
         told = spark.createDataFrame([], edges.schema)
     key = ["run_id", "transition"]
-    edges.join(told.select(*key), key, "left_anti").write.mode("append").parquet(alerts)
+    untold = edges.join(told.select(*key), key, "left_anti").select(*edges.columns)
+    untold.write.mode("append").parquet(alerts)
 
 
 def start_health(
