@@ -98,16 +98,6 @@ def worst_report_rows(observations: DataFrame, rules: Rules = DEFAULT_RULES) ->
     )
 
 
-def summary_aggregates(rules: Rules, nac_p: str = "nac_p") -> dict[str, str]:
-    """The aggregates of a cell hour over one row per aircraft."""
-    return {
-        "aircraft_count": "cast(count(1) AS int)",
-        "degraded_share": f"avg(cast(nic < {rules.nic_degraded_below} AS double))",
-        "_nic": "percentile(nic, array(0.5D, 0.25D))",
-        "mean_nac_p": f"avg(cast({nac_p} AS double))",
-    }
-
-
 def labelled_columns(rules: Rules) -> list[str]:
     return [
         "aircraft_count",
@@ -126,9 +116,27 @@ def summarise_cells(
     traffic_floor: bool = True,
     extra_keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Aggregate one-row-per-aircraft reports to (cell, slot) rows with share and label."""
-    grouped = reports.groupBy(*extra_keys, cell, SLOT).agg(
-        *[F.expr(sql).alias(name) for name, sql in summary_aggregates(rules).items()]
+    """Aggregate one-row-per-aircraft reports to (cell, slot) rows with share and label.
+
+    Aircraft are first counted per NIC. That step is a plain hash aggregate with small rows, and
+    leaves the quantiles at most one row per distinct NIC. Feeding them every aircraft would
+    send one quantile buffer per aircraft through the exchange, since the deduplication before
+    has spread the aircraft of a cell over all tasks.
+    """
+    per_nic = reports.groupBy(*extra_keys, cell, SLOT, "nic").agg(
+        F.expr("count(1)").alias("_n"),
+        F.expr("sum(nac_p)").alias("_nac_sum"),
+        F.expr("count(nac_p)").alias("_nac_n"),
+    )
+    degraded = f"sum(if(nic < {rules.nic_degraded_below}, _n, 0L))"
+    aggregates = {
+        "aircraft_count": "cast(sum(_n) AS int)",
+        "degraded_share": f"{degraded} / sum(_n)",
+        "_nic": "percentile(nic, array(0.5D, 0.25D), _n)",
+        "mean_nac_p": "sum(_nac_sum) / nullif(sum(_nac_n), 0L)",
+    }
+    grouped = per_nic.groupBy(*extra_keys, cell, SLOT).agg(
+        *[F.expr(sql).alias(name) for name, sql in aggregates.items()]
     )
     labelled = grouped.selectExpr(*extra_keys, cell, SLOT, *labelled_columns(rules))
     if traffic_floor:

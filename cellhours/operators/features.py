@@ -130,14 +130,13 @@ def neighbour_state(cells: DataFrame, pairs: DataFrame | None = None) -> DataFra
     """Same-hour state of the observed neighbours, for cells that occur in the input.
 
     An unobserved neighbour sends nothing, so it is never counted as clean. `pairs`
-    (h3_cell, nbr_cell) replaces the grid's own adjacency, for cells of another grid.
+    (h3_cell, nbr_cell) replaces the grid's own adjacency, for cells of another grid. Whether a
+    cell occurs is decided on the panel, which spares a second pass over the input.
     """
-    observed = cells.filter("degraded_share IS NOT NULL")
-    received = _send_to_neighbours(observed, pairs, "degraded_share", LABEL)
-    known = received.join(cells.select(CELL).distinct(), CELL, "left_semi")
-    return known.groupBy(*KEYS).agg(
-        *[F.expr(sql).alias(name) for name, sql in _NEIGHBOUR_AGGREGATES.items()]
-    )
+    panel = _panel(cells, pairs)
+    occurs = f"bool_or(_occurs) OVER (PARTITION BY {CELL})"
+    known = panel.selectExpr(*KEYS, *NEIGHBOUR_VALUES, f"{occurs} AS _known")
+    return known.filter("_known AND nbr_observed > 0").drop("_known")
 
 
 def thin_neighbours(
@@ -194,7 +193,10 @@ def _panel(cells: DataFrame, pairs: DataFrame | None) -> DataFrame:
     return (
         moved.repartition(CELL)
         .groupBy(*KEYS)
-        .agg(*[F.expr(sql).alias(name) for name, sql in {**own_values, **received}.items()])
+        .agg(
+            F.expr("bool_or(_own)").alias("_occurs"),
+            *[F.expr(sql).alias(name) for name, sql in {**own_values, **received}.items()],
+        )
     )
 
 

@@ -38,7 +38,10 @@ def start_capture(
     ).dropDuplicates(OBSERVATION_KEY)
 
     def store(batch: DataFrame, _: int) -> None:
+        # The sink looks at the batch twice; the stateful part must run once.
+        batch.persist()
         append_if_absent(batch, table)
+        batch.unpersist()
 
     writer = unique.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}

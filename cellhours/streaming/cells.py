@@ -14,7 +14,6 @@ from cellhours.operators.cells import (
     labelled_columns,
     rank_nac_p_sql,
     report_rank,
-    summary_aggregates,
 )
 from cellhours.schemas import CELL, CELL_VALUES, SLOT
 
@@ -35,7 +34,13 @@ def stream_cell_hourly(observations: DataFrame, rules: Rules = DEFAULT_RULES) ->
     worst = keyed.groupBy(F.window("observed_at", width), CELL_KEY, "hex").agg(
         F.min("nic").alias("nic"), F.min(report_rank(rules)).alias("_rank")
     )
-    aggregates = summary_aggregates(rules, nac_p=rank_nac_p_sql("_rank"))
+    # A third chained aggregation would add state, so the quantiles take the aircraft directly.
+    aggregates = {
+        "aircraft_count": "cast(count(1) AS int)",
+        "degraded_share": f"avg(cast(nic < {rules.nic_degraded_below} AS double))",
+        "_nic": "percentile(nic, array(0.5D, 0.25D))",
+        "mean_nac_p": f"avg(cast({rank_nac_p_sql('_rank')} AS double))",
+    }
     summary = worst.groupBy(
         F.window(F.window_time("window"), width).alias("hour"), CELL_KEY
     ).agg(*[F.expr(sql).alias(name) for name, sql in aggregates.items()])
