@@ -478,7 +478,8 @@ def health_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.chrono_split(_features(spark, sf_dir)).select(*KEYS, TARGET, "segment")
+    table = _stored_features(spark, sf_dir)
+    return evaluation.chrono_split(table).select(*KEYS, TARGET, "segment")
 
 
 @query
