@@ -113,7 +113,7 @@ NBR = """
   SELECT p.h3_cell, c.slot_start, c.h, count(*) AS nbr_observed,
          avg(c.degraded_share) AS nbr_degraded_share_mean,
          max(c.degraded_share) AS nbr_degraded_share_max,
-         sum(c.is_degraded) AS nbr_degraded_count
+         CAST(sum(c.is_degraded) AS BIGINT) AS nbr_degraded_count
   FROM pairs p JOIN cells c ON c.h3_cell = p.nbr_cell GROUP BY ALL"""
 
 _LAGS = ",\n         ".join(
