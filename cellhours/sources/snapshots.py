@@ -30,12 +30,14 @@ def flatten_snapshots(
     NIC 0 is the strongest signal there is, an absent NIC is none: only the latter is dropped.
     Altitude does not matter for storage; the live path asks for ``cruise_only``.
     """
+    # The outer form, because the plain one makes the optimizer test the array's size below the
+    # generator and parse every body twice. Its NULL rows go with those without a position.
     each = envelopes.select(
         "observed_at",
         "sample_point",
         "is_control_region",
         "ingest_run_id",
-        F.inline("body.ac"),
+        F.inline_outer("body.ac"),
     )
     usable = each.filter(
         F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("nic").isNotNull()
