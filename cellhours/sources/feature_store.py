@@ -10,15 +10,20 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import utc_date
 from cellhours.schemas import CELL, FEATURE_RUNS, SLOT, TARGET
-from cellhours.sources.observations import DATE
 from cellhours.sources.scratch import path_missing
 
+MONTH = "slot_month"
+
+
+def _month(ts: str | Column) -> Column:
+    return F.trunc(utc_date(ts), "month")
+
 
 def build_path(root: str, run_id: str) -> str:
     return f"{root}/cell_hourly_features/{run_id}"
@@ -33,20 +38,21 @@ def stage_features(
 ) -> DataFrame:
     """Write a build where no reader looks yet, and return it as stored.
 
-    Files are laid out by slot date, so a read of a time range skips the others. Rebalancing
-    needs no sampling pass over the features and splits a date that holds most of them.
+    Files are laid out by month and sorted by slot, so a read of a time range skips folders,
+    row groups and pages. Rebalancing needs no sampling pass over the features and splits a
+    month that holds most of them.
     """
     path = build_path(root, run_id)
     tagged = features.withColumns(
         {
             "feature_version": F.lit(rules.feature_version),
             "feature_run_id": F.lit(run_id),
-            DATE: utc_date(SLOT),
+            MONTH: _month(SLOT),
         }
     )
-    balanced = tagged.hint("rebalance", F.col(DATE)).sortWithinPartitions(DATE, SLOT, CELL)
-    balanced.write.mode("overwrite").partitionBy(DATE).parquet(path)
-    return features.sparkSession.read.schema(tagged.schema).parquet(path).drop(DATE)
+    balanced = tagged.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, SLOT, CELL)
+    balanced.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return features.sparkSession.read.schema(tagged.schema).parquet(path).drop(MONTH)
 
 
 def feature_run_summary(features: DataFrame) -> DataFrame:
@@ -129,11 +135,11 @@ def read_features(
     rows = spark.read.parquet(build_path(root, run_id))
     if start is not None:
         rows = rows.filter(F.col(SLOT) >= F.lit(start)).filter(
-            F.col(DATE) >= utc_date(F.lit(start))
+            F.col(MONTH) >= _month(F.lit(start))
         )
     if end is not None:
-        rows = rows.filter(F.col(SLOT) <= F.lit(end)).filter(F.col(DATE) <= utc_date(F.lit(end)))
-    return rows.drop(DATE)
+        rows = rows.filter(F.col(SLOT) <= F.lit(end)).filter(F.col(MONTH) <= _month(F.lit(end)))
+    return rows.drop(MONTH)
 
 
 def export_features(features: DataFrame, path: str) -> None:
