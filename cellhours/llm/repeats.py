@@ -16,10 +16,10 @@ Everything is compared byte by byte, so hash collisions cost time but never a wr
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -97,6 +97,8 @@ def repeat_extents(
     in another context, or in a context with several copies, is within these extents.
     """
     size = len(left)
+    if size == 2:
+        return _extents_of_two(left, right, copies, length)
     several = np.asarray(copies) > 1
     back = np.where(several, [len(x) for x in left], 0)
     ahead = np.where(several, [len(x) for x in right], 0)
@@ -139,20 +141,35 @@ def repeat_extents(
     return back, ahead
 
 
+def _extents_of_two(
+    left: list[bytes], right: list[bytes], copies: list[int], length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the most frequent case: a tree of one interval."""
+    back = _lcp(left[0][::-1], left[1][::-1])
+    ahead = _lcp(*right)
+    if back + ahead < length:
+        back = ahead = 0
+    extents = [
+        (len(x), len(y)) if n > 1 else (back, ahead)
+        for x, y, n in zip(left, right, copies, strict=True)
+    ]
+    return np.array([e[0] for e in extents]), np.array([e[1] for e in extents])
+
+
+def _lcp(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:  # the first difference is in [low, high)
+        mid = (low + high) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid)
+    return low
+
+
 def _neighbour_lcp(ordered: list[bytes]) -> np.ndarray:
     """Common prefix lengths of neighbours."""
-    out = np.zeros(max(0, len(ordered) - 1), np.int64)
-    for i, (a, b) in enumerate(zip(ordered[:-1], ordered[1:], strict=True)):
-        n = min(len(a), len(b))
-        if a[:n] == b[:n]:
-            out[i] = n
-            continue
-        low = 0
-        while n - low > 1:  # the first difference is in [low, n)
-            mid = (low + n) // 2
-            low, n = (mid, n) if a[low:mid] == b[low:mid] else (low, mid)
-        out[i] = low
-    return out
+    return np.fromiter(map(_lcp, ordered[:-1], ordered[1:]), np.int64, max(0, len(ordered) - 1))
 
 
 def covered(size: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -231,21 +248,40 @@ def _cut_contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 
 def _scan_buckets(contexts: DataFrame, length: int) -> DataFrame:
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("ctx")  # repeated rows of one id bring a context twice
-        back, ahead = repeat_extents(
-            [bytes(x) for x in group["left"]],
-            [bytes(x) for x in group["right"]],
-            group["copies"].tolist(),
-            length,
-        )
-        out = pd.DataFrame(
-            {"bucket": group["bucket"], "ctx": group["ctx"], "back": back, "ahead": ahead}
-        )
-        return out[out["ahead"] > 0]
+    """Extents of the contexts, bucket by bucket in sorted partitions."""
+    names = ["bucket", "ctx", "back", "ahead"]
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns)))
+        out: list[tuple[int, int, int, int]] = []
+        for bucket, group in itertools.groupby(rows, key=lambda row: row[0]):
+            # Repeated rows of one id bring a context twice.
+            found = list({row[1]: row for row in group}.values())
+            back, ahead = repeat_extents(
+                [r[3] for r in found], [r[4] for r in found], [r[2] for r in found], length
+            )
+            out += [
+                (bucket, row[1], b, a)
+                for row, b, a in zip(found, back.tolist(), ahead.tolist(), strict=True)
+                if a
+            ]
+            if len(out) > 10_000:
+                yield _columns(out, names)
+                out = []
+        yield _columns(out, names)
 
-    schema = "bucket bigint, ctx bigint, back bigint, ahead bigint"
-    return contexts.groupBy("bucket").applyInPandas(scan, schema)
+    return (
+        contexts.select("bucket", "ctx", "copies", "left", "right")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(batches, "bucket bigint, ctx bigint, back bigint, ahead bigint")
+    )
+
+
+def _columns(rows: list[tuple[int, ...]], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names
+    )
 
 
 def _split(contexts: DataFrame, width: int, length: int) -> tuple[DataFrame, int]:
@@ -363,7 +399,9 @@ def remove_repeats(
     long_ones = plain.where(F.octet_length("body") >= length)
     places = materialise(_find_anchors(long_ones, length), "repeats-anchors")
     again = places.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    places = materialise(places.join(again.select("gram"), "gram", "left_semi"), "repeats-places")
+    # Written first: a frequent gram can then be split in the join, which the sums forbid.
+    again = materialise(again.select("gram"), "repeats-again")
+    places = materialise(places.join(again, "gram", "left_semi"), "repeats-places")
     distinct = places.groupBy("gram", "around").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("row_id", "text_key", "place")).alias("at"),
