@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType
 from cellhours.llm.common import with_fields
 
 MARK = "▁"  # what stands for the white space before a word in the vocabulary
-MAX_NODES = 600_000
+MAX_NODES = 400_000
 
 
 @cache
@@ -109,7 +109,7 @@ def token_counts(
             words_of, tokens_of = [], []
             for body in part.column(0).to_pylist():
                 words = [MARK + w for w in (body or "").split()]
-                for word in set(words) - trie.terminal.keys():
+                for word in [w for w in set(words) if w not in trie.terminal]:
                     if len(trie.best) > max_nodes:
                         trie.clear()
                     trie.insert(word)
