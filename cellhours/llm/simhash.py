@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +76,9 @@ def _signed(value: int) -> int:
 def link_fingerprints(marks: DataFrame, max_distance: int) -> DataFrame:
     """(node, root) for the distinct BIGINT fingerprints `fp` that have a partner.
 
-    Exact single linkage without listing all pairs of a dense group. The members of a bucket
-    (those that share a variant) are first compared with two of them, picked by hash. After the
+    Exact single linkage without listing all pairs of a dense group. Members of a bucket are
+    those that share a variant. Two or three are compared with each other as they stand in their
+    sums; the members of a larger bucket first with two of them, picked by hash. After the
     components of these links only pairs from different components can still matter: of a
     bucket that holds several, the members outside its main component meet the others. A large
     group of near copies is one component by then, so it meets nobody.
@@ -98,18 +100,33 @@ def link_fingerprints(marks: DataFrame, max_distance: int) -> DataFrame:
         keyed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.min("fp").alias("a"),
+            F.max("fp").alias("c"),
+            F.bit_xor("fp").alias("x"),
             F.min_by("fp", F.xxhash64("fp")).alias("p"),
             F.max_by("fp", F.xxhash64("fp")).alias("q"),
         )
         .where("n > 1")
-        .drop("n")
     )
-    members = materialise(keyed.join(buckets, "key"), "simhash-members")
-    near = f"bit_count(fp ^ %s) <= {max_distance}"
-    first = members.where(near % "p").select(F.col("fp").alias("u"), F.col("p").alias("v"))
-    first = first.unionAll(
-        members.where(near % "q").select(F.col("fp").alias("u"), F.col("q").alias("v"))
+    buckets = materialise(buckets, "simhash-buckets")
+    near = f"bit_count(%s ^ %s) <= {max_distance}"
+    # Up to three members are known from their least, greatest and XOR.
+    small = buckets.where("n <= 3").withColumn("b", F.expr("if(n = 2, a, x ^ a ^ c)"))
+    pairs = [
+        small.where(f"{u} <> {v} AND {near % (u, v)}").selectExpr(f"{u} AS u", f"{v} AS v")
+        for u, v in ("ab", "bc", "ac")
+    ]
+    members = materialise(
+        # A merge join: the planner takes the exploded side for 64 times smaller than it is, and
+        # would broadcast it.
+        keyed.hint("merge").join(buckets.where("n > 3").select("key", "p", "q"), "key"),
+        "simhash-members",
     )
+    pairs += [
+        members.where(near % ("fp", chief)).selectExpr("fp AS u", f"{chief} AS v")
+        for chief in ("p", "q")
+    ]
+    first = reduce(DataFrame.unionAll, pairs)
     labels = connected_components(first, "simhash-first")
     placed = materialise(
         members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -134,7 +151,7 @@ def link_fingerprints(marks: DataFrame, max_distance: int) -> DataFrame:
     inner = still.select("key", F.col("fp").alias("b"), F.col("comp").alias("v"), "main")
     second = (
         outer.join(inner, "key")
-        .where(f"u <> v AND (v = main OR u < v) AND bit_count(a ^ b) <= {max_distance}")
+        .where(f"u <> v AND (v = main OR u < v) AND {near % ('a', 'b')}")
         .select("u", "v")
     )
     joined = connected_components(second, "simhash-second")
