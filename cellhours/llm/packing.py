@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import starmap
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from cellhours.llm.common import with_fields
 from cellhours.sources.scratch import materialise
 
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 1_000_000
 
 
 @cache
@@ -31,24 +34,59 @@ class WordEncoder:
     """Ids of whole texts, as little-endian bytes, from a cache of encoded words.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those
-    of its space- and newline-separated parts in a row.
+    of its space- and newline-separated parts in a row. Of a part that is new, capitals and a
+    closing comma or full stop behind letters are taken off first, as the vocabulary's own rules
+    do, since what is left is often known.
     """
 
     def __init__(self, file: str) -> None:
         self.file = file
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = list({w for w in words if w not in self.known})
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; what is new in all of them is encoded at once."""
+        parts = [text.replace("\n", " ").split(" ") for text in texts]
+        seen = set().union(*parts)
+        new = {w for w in seen if w not in self.known}
         if new:
             if len(self.known) + len(new) > MAX_CACHED_WORDS:
-                self.known = {}
-                new = list(set(words))
-            found = _tokenizer(self.file).encode_batch(new, add_special_tokens=False)
-            for word, one in zip(new, found, strict=True):
-                self.known[word] = np.asarray(one.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+                self.known, new = {}, seen
+            self._learn(new)
+        return [b"".join(map(self.known.__getitem__, words)) for words in parts]
+
+    def _learn(self, new: set[str]) -> None:
+        parts = {w: _simple(w) for w in new}
+        wanted = {core for core, _ in parts.values()} | {end for _, end in parts.values()}
+        fresh = [w for w in wanted if w not in self.known]
+        plain: list[str] = []
+        other: list[str] = []
+        for word in fresh:
+            (plain if _one_piece(word) else other).append(word)
+        tokenizer = _tokenizer(self.file)
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            found = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4").tobytes()
+            edges = np.searchsorted(found.word_ids, np.arange(len(some) + 1)) * 4
+            for word, start, end in zip(some, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                self.known[word] = ids[start:end]
+        for word, one in zip(
+            other, tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True
+        ):
+            self.known[word] = np.asarray(one.ids, "<u4").tobytes()
+        for word, (core, end) in parts.items():
+            self.known[word] = self.known[core] + self.known[end]
+
+
+def _simple(word: str) -> tuple[str, str]:
+    """A word as (core, ending), whose ids in a row are the word's."""
+    word = word.lower() if word.isascii() else word
+    return (word[:-1], word[-1]) if word[-1:] in {".", ","} and word[:-1].isalpha() else (word, "")
+
+
+def _one_piece(word: str) -> bool:
+    """Whether the vocabulary's rules surely keep a part whole: letters of the first 256 codes."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
 
 
 class CapacityTree:
@@ -103,30 +141,39 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
     return place, offset
 
 
-def pieces(docs: DataFrame, doc_id: str, text: str, file: str, end_id: int, window: int) -> DataFrame:
+def pieces(
+    docs: DataFrame, doc_id: str, text: str, file: str, end_id: int, window: int, with_ids: bool
+) -> DataFrame:
     """Ids of each text and `end_id`, cut into full windows and a rest; a row per piece.
 
-    Columns: doc_id, start, length, ids (binary, little-endian unsigned 32 bit), doc_tokens.
+    Columns: doc_id, start, length, doc_tokens, ids_crc32 and, if asked for, ids (binary,
+    little-endian unsigned 32 bit).
     """
     closing = np.asarray([end_id], "<u4").tobytes()
+    new = {"start": LongType(), "length": LongType(), "doc_tokens": LongType()}
+    new |= {"ids_crc32": LongType()} | ({"ids": BinaryType()} if with_ids else {})
+    kind = docs.schema[doc_id].dataType
+    schema = StructType([StructField("doc_id", kind), *starmap(StructField, new.items())])
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(file)
-        for part in parts:
-            rows = []
-            for key, body in zip(part["id"].astype(object), part["body"], strict=True):
-                ids = encoder.encode(body) + closing
-                for at in range(0, len(ids), 4 * window):
-                    cut = ids[at : at + 4 * window]
-                    rows.append((key, at // 4, len(cut) // 4, cut, len(ids) // 4))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens"])
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(
-        F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("body")
-    ).mapInPandas(
-        batches, f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint"
-    )
+        for whole in parts:
+            for first in range(0, whole.num_rows, 250):
+                part = whole.slice(first, 250)
+                row_of, rows = [], []
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for row, ids in enumerate(encoder.encode(texts)):
+                    ids += closing
+                    for at in range(0, len(ids), 4 * window):
+                        cut = ids[at : at + 4 * window]
+                        row_of.append(row)
+                        rows.append((at // 4, len(cut) // 4, len(ids) // 4, zlib.crc32(cut), cut))
+                keys = part.column(0).take(pa.array(row_of, pa.int64()))
+                kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
+                columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([keys, *columns], ["doc_id", *new])
+
+    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(batches, schema)
 
 
 def pack(parts: DataFrame, window: int, block_pieces: int = 100_000) -> DataFrame:
@@ -168,6 +215,5 @@ def pack_documents(
     are packed best fit decreasing. A NULL or empty text is its `end_id` alone. Repeated rows and
     rows with a NULL id are packed like any other; other columns are not read.
     """
-    cut = pieces(docs, doc_id, text, file, end_id, window).withColumn("ids_crc32", F.crc32("ids"))
-    columns = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", *["ids"] * with_ids]
-    return pack(materialise(cut.select(*columns), "packing-pieces"), window)
+    cut = pieces(docs, doc_id, text, file, end_id, window, with_ids)
+    return pack(materialise(cut, "packing-pieces"), window)

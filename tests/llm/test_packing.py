@@ -56,7 +56,7 @@ def test_word_cache_equals_the_tokenizer():
     for _ in range(400):
         text = "".join(pick.choice(letters) for _ in range(pick.randint(0, 60)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, repr(text)
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want, repr(text)
 
 
 def test_best_fit_picks_the_tightest_window():
