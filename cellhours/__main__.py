@@ -14,14 +14,15 @@ import logging
 import sys
 from datetime import UTC, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from cellhours.functions.timeslots import utc_date
 from cellhours.operators import coverage, health
 from cellhours.plans.build import run_feature_build
 from cellhours.session import START_SETTINGS, apply_settings
 from cellhours.sources import legacy
 from cellhours.sources.observations import stored_observations
-from cellhours.sources.runs import run_state
+from cellhours.sources.runs import recent_runs, run_state, runs_by_status
 
 logger = logging.getLogger("cellhours")
 
@@ -55,20 +56,27 @@ def import_legacy(spark: SparkSession, args: argparse.Namespace) -> int:
     rows = legacy.to_observations(legacy.load_legacy(spark, args.raw_root))
     stored = stored_observations(spark, args.observations)
     summary = legacy.import_summary(rows, stored).first().asDict()
-    logger.info("prepared %s", summary)
+    logger.info("history holds %s", summary)
     if not args.dry_run:
         added = legacy.import_legacy(spark, args.raw_root, args.observations)
-        logger.info("inserted %d new rows", added)
+        logger.info("%d rows were new to the table", added)
     return 0
 
 
+def _show_all(table: DataFrame) -> None:
+    """Print every row; the reports have a row per day, edge or status."""
+    table.show(max(1, table.count()), truncate=False)
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> int:
     hours = coverage.slot_coverage(stored_observations(spark, args.observations), ordered=False)
-    coverage.gap_report(hours).orderBy("date").show(truncate=False)
-    coverage.completeness(hours).show()
+    _show_all(coverage.gap_report(hours).orderBy("date"))
+    _show_all(coverage.completeness(hours))
     if args.run_log:
         runs = run_state(spark.read.parquet(args.run_log))
-        health.health_transitions(runs).orderBy("slot_start").show(truncate=False)
+        _show_all(health.health_transitions(runs).orderBy("slot_start"))
+        _show_all(runs_by_status(runs, utc_date("slot_start")))
+        _show_all(recent_runs(runs))
     return 0
 
 

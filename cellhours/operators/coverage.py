@@ -54,12 +54,12 @@ def capture_watchdog(
     """One row: is capture fresh, and the problem in words if not."""
     lag = F.col("lag_hours")
     limit = F.lit(rules.max_capture_lag_minutes / 60.0)
-    problem = F.when(lag.isNull(), F.lit("no observations in the database at all")).when(
+    problem = F.when(lag.isNull(), F.lit("no observations in the raw table")).when(
         lag > limit,
         F.concat(
             F.lit("newest captured hour is "),
             F.format_string("%.1f", lag),
-            F.lit(" h old; the ingestor may be down"),
+            F.lit(" h old: capture is behind"),
         ),
     )
     return capture_lag(observations, now).select(

@@ -453,7 +453,7 @@ _add(
     sql="""
 SELECT max(slot_start) AS latest_slot, round(200 / 60.0::DOUBLE, 9) AS lag_hours,
        false AS healthy,
-       'newest captured hour is 3.3 h old; the ingestor may be down' AS problem
+       'newest captured hour is 3.3 h old: capture is behind' AS problem
 FROM obs""",
 )
 _add(

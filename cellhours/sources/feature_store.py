@@ -38,6 +38,8 @@ def stage_features(
 ) -> DataFrame:
     """Write a build where no reader looks yet, and return it as stored.
 
+    A run id is used once: if its folder exists, published or not, the write is refused.
+
     Files are laid out by month and sorted by slot, so a read of a time range skips folders,
     row groups and pages. Rebalancing needs no sampling pass over the features and splits a
     month that holds most of them.
@@ -51,7 +53,7 @@ def stage_features(
         }
     )
     balanced = tagged.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, SLOT, CELL)
-    balanced.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    balanced.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
     return features.sparkSession.read.schema(tagged.schema).parquet(path).drop(MONTH)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -104,11 +107,16 @@ def absent_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
         stored = existing.filter(
             F.col(DATE).between(span.getField("lo"), span.getField("hi"))
         )
-    return fresh.join(stored.select(*OBSERVATION_KEY), OBSERVATION_KEY, "left_anti")
+    keys = stored.select(*[F.col(c).alias(f"_{c}") for c in OBSERVATION_KEY])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in OBSERVATION_KEY])
+    return fresh.join(keys, same, "left_anti")
 
 
 def append_if_absent(batch: DataFrame, path: str) -> int:
-    """Append the rows whose key is new; returns how many. Replaying a batch adds nothing."""
+    """Append the rows whose key is new; returns how many. Replaying a batch adds nothing.
+
+    A NULL in a key equals a NULL. For a single writer: two at a time could both add a key.
+    """
     spark = batch.sparkSession
     columns = [f.name for f in OBSERVATIONS.fields]
     fresh = absent_rows(batch.select(*columns), stored_observations(spark, path))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.schemas import OBSERVATION_KEY, SNAPSHOT
+from cellhours.schemas import SNAPSHOT
 from cellhours.sources.observations import append_if_absent
 from cellhours.sources.snapshots import flatten_snapshots
 
@@ -28,21 +28,19 @@ def start_capture(
 ) -> StreamingQuery:
     """Append every new report of a stream of feed answers.
 
-    The key contains the report time, so the watermark bounds the duplicate state. A batch that
-    is replayed after a failure adds nothing, because the sink skips stored keys. Rows later
-    than the watermark are left to a batch import of the landing folder.
+    No watermark and no state: the sink keeps one row per key of a batch and skips stored keys,
+    so a report of any lateness is kept, a replayed batch adds nothing, and how files are dealt
+    to triggers does not matter. One writer at a time, as for `append_if_absent`.
     """
     reports = flatten_snapshots(envelopes, rules=rules)
-    unique = reports.withWatermark(
-        "observed_at", f"{rules.sweep_deadline_minutes} minutes"
-    ).dropDuplicates(OBSERVATION_KEY)
 
     def store(batch: DataFrame, _: int) -> None:
-        # The sink looks at the batch twice; the stateful part must run once.
-        batch.persist()
-        append_if_absent(batch, table)
-        batch.unpersist()
+        batch.persist()  # the sink looks at the batch twice
+        try:
+            append_if_absent(batch, table)
+        finally:
+            batch.unpersist()
 
-    writer = unique.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    writer = reports.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return writer.trigger(**trigger).start()

@@ -113,12 +113,12 @@ def test_label_boundary_is_inclusive(spark, degraded, label):
 def test_an_aircraft_counts_once_at_its_worst(spark):
     at = T0 + timedelta(minutes=1)
     rows = hour_of_reports(0, 0, n=5)
-    rows += [report("a00000", nic, at + timedelta(minutes=m), disc=d)
+    rows += [report("v-0", nic, at + timedelta(minutes=m), disc=d)
              for m, (nic, d) in enumerate([(8, "d1"), (3, "d2"), (9, "d1"), (3, "d1")])]
     row = cells.cell_hourly(observations(spark, rows)).first()
     assert row.aircraft_count == 5
     assert row.degraded_share == 0.2
-    assert row.median_nic == 8.0
+    assert row.median_nic == 9.0
 
 
 def test_quantiles_are_linear(spark):

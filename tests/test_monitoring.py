@@ -15,13 +15,13 @@ def watchdog(spark, rows, now):
 
 
 def test_watchdog_fresh_stale_empty_and_exactly_at_the_limit(spark):
-    now = datetime(2026, 11, 9, 14, 20, tzinfo=UTC)
+    now = datetime(2025, 3, 2, 8, 45, tzinfo=UTC)
     at = now.replace(minute=0)
     assert watchdog(spark, [report("a", 8, at)], now).healthy
-    stale = watchdog(spark, [report("a", 8, at - timedelta(hours=5))], now)
-    assert stale.problem == "newest captured hour is 5.3 h old; the ingestor may be down"
+    stale = watchdog(spark, [report("a", 8, at - timedelta(hours=7))], now)
+    assert stale.problem == "newest captured hour is 7.8 h old: capture is behind"
     empty = watchdog(spark, [], now)
-    assert not empty.healthy and empty.problem == "no observations in the database at all"
+    assert not empty.healthy and empty.problem == "no observations in the raw table"
     assert empty.lag_hours is None
     assert watchdog(spark, [report("a", 8, at)], at + timedelta(hours=2)).healthy
     assert not watchdog(spark, [report("a", 8, at)], at + timedelta(hours=2, seconds=1)).healthy

@@ -164,7 +164,7 @@ def test_every_build_is_logged_and_the_newest_is_read(spark, tmp_path):
     first = run_feature_build(observations(spark, history()), root, NOW, run_id="one")
     assert first.published and first.cell_slots == 40
     assert first.capture_problem == (
-        "newest captured hour is 9.0 h old; the ingestor may be down"
+        "newest captured hour is 9.0 h old: capture is behind"
     )
     later = NOW + timedelta(hours=1)
     run_feature_build(observations(spark, history(30)), root, later, run_id="two")
@@ -193,11 +193,26 @@ def test_a_refused_build_leaves_the_published_one(spark, tmp_path):
     empty = run_feature_build(observations(spark, []), root, NOW, run_id="empty")
     assert not empty.published and empty.capture_problem.startswith("no observations")
     short = run_feature_build(observations(spark, history(5)), root, NOW, run_id="short")
-    assert "6 hours later" in short.problems[0]
+    assert "6 hours ahead" in short.problems[0]
     assert feature_store.newest_run(spark, root) == "good"
     assert feature_store.read_features(spark, root).count() == 34
 
 
+def test_a_published_run_id_cannot_be_written_again(spark, tmp_path):
+    root = str(tmp_path / "store")
+    run_feature_build(observations(spark, history()), root, NOW, run_id="once")
+    with pytest.raises(Exception, match="(?i)exists"):
+        run_feature_build(observations(spark, history(30)), root, NOW, run_id="once")
+    run_feature_build(observations(spark, history(30)), root, NOW, run_id="once", store=False)
+    assert feature_store.read_features(spark, root).count() == 34
+
+
+def test_a_null_in_a_key_is_stored_once(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = observations(spark, [report(None, 8, T0), report("a", 8, T0, disc=None)])
+    assert [store.append_if_absent(rows, table) for _ in range(3)] == [2, 0, 0]
+
+
 def test_export(spark, tmp_path):
     out = str(tmp_path / "out")
     result = run_feature_build(

@@ -47,6 +47,20 @@ def test_capture_is_idempotent_and_keeps_altitude_rules(spark, tmp_path):
     assert run().count() == 10
 
 
+def test_capture_keeps_late_reports_whatever_the_trigger_size(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for i, hour in enumerate([7, 0, 30, 2, 7]):  # out of order, hours apart, one repeated
+        seen = [{"hex": f"h{hour}-{k}", "lat": 52.0, "lon": 10.0, "nic": k} for k in range(3)]
+        land(landing, f"{i}.json", hour, seen)
+    counts = []
+    for size in (1, 1000):
+        table, state = str(tmp_path / f"t{size}"), str(tmp_path / f"s{size}")
+        stream = snapshot_stream(spark, str(landing), files_per_trigger=size)
+        start_capture(stream, table, state).awaitTermination()
+        counts.append(stored_observations(spark, table).count())
+    assert counts == [12, 12]
+
+
 def test_stream_equals_batch_on_closed_hours(spark, tmp_path):
     source, table, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     rows = [r for h in range(8) if h != 3 for r in hour_of_reports(h, h % 5)]
