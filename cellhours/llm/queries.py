@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellhours.llm.common import table
@@ -31,12 +31,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_pii(docs, with_text=False)
     base = F.filter("pii", lambda x: x["base"])
+
+    def count(k: int) -> Column:
+        return F.size(F.filter(base, lambda x: x["k"] == k)).cast("bigint")
+
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter(base, lambda x, k=k: x["k"] == k)).cast("bigint").alias(f"n_{kind}")
-            for k, kind in zip(range(4), KINDS, strict=True)
-        ],
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
         F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
         spans_text(F.col("pii")).alias("spans"),
     )
