@@ -218,7 +218,8 @@ def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _published(spark: SparkSession, sf_dir: str) -> str:
     root = run_folder(spark, "store")
-    result = run_feature_build(_obs(spark, sf_dir), root, BUILT_AT)
+    run_id = f"{BUILT_AT:features-%Y%m%dT%H%M%SZ}"  # the root is new, so the id is free
+    result = run_feature_build(_obs(spark, sf_dir), root, BUILT_AT, run_id=run_id)
     if not result.published:
         raise RuntimeError(f"feature build refused: {result.problems}")
     return root
