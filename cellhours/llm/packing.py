@@ -30,24 +30,45 @@ def _tokenizer(file: str):  # noqa: ANN202 - the library loads where it is used
     return Tokenizer.from_file(public_tokenizers.path(file))
 
 
+@cache
+def _word_tokenizer(file: str):  # noqa: ANN202
+    """The vocabulary's merges alone, for words that its rules would leave whole.
+
+    Those words are lower case letters of the first 256 codes, so of the vocabulary's rules only
+    the mapping of bytes to symbols is left to apply.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    full = _tokenizer(file)
+    plain = Tokenizer(full.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ]
+    )
+    return plain
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian bytes, from a cache of encoded words.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those
-    of its space- and newline-separated parts in a row. Of a part that is new, capitals and a
-    closing comma or full stop behind letters are taken off first, as the vocabulary's own rules
-    do, since what is left is often known.
+    of its space- and newline-separated parts in a row. Capitals do not matter to it, and a
+    closing comma or full stop behind letters is a word of its own, so new parts are looked up
+    without both.
     """
 
     def __init__(self, file: str) -> None:
         self.file = file
         self.known: dict[str, bytes] = {}
+        self.marks = [t.content for t in _tokenizer(file).get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; what is new in all of them is encoded at once."""
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
+        parts = [self._lower(text).replace("\n", " ").split(" ") for text in texts]
         seen = set().union(*parts)
-        new = {w for w in seen if w not in self.known}
+        new = seen.difference(self.known)
         if new:
             if len(self.known) + len(new) > MAX_CACHED_WORDS:
                 self.known, new = {}, seen
@@ -55,38 +76,39 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in parts]
 
     def _learn(self, new: set[str]) -> None:
-        parts = {w: _simple(w) for w in new}
-        wanted = {core for core, _ in parts.values()} | {end for _, end in parts.values()}
-        fresh = [w for w in wanted if w not in self.known]
-        plain: list[str] = []
-        other: list[str] = []
-        for word in fresh:
-            (plain if _one_piece(word) else other).append(word)
-        tokenizer = _tokenizer(self.file)
+        ended = [w for w in new if w[-1:] in {".", ","} and w[:-1].isalpha() and _is_latin(w)]
+        wanted = new.difference(ended)
+        wanted.update([w[:-1] for w in ended], (".", ","))
+        wanted = wanted.difference(self.known)  # a lookup per word, unlike difference_update
+        plain = [w for w in wanted if w.isalpha() and _is_latin(w)]
+        words = _word_tokenizer(self.file)
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
-            found = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            found = words.encode(" ".join(some).lower(), add_special_tokens=False)
             ids = np.asarray(found.ids, "<u4").tobytes()
-            edges = np.searchsorted(found.word_ids, np.arange(len(some) + 1)) * 4
-            for word, start, end in zip(some, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                self.known[word] = ids[start:end]
-        for word, one in zip(
-            other, tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True
-        ):
+            edges = (np.searchsorted(found.word_ids, np.arange(len(some) + 1)) * 4).tolist()
+            self.known.update(zip(some, map(ids.__getitem__, map(slice, edges, edges[1:]))))
+        other = list(wanted.difference(plain))
+        encoded = _tokenizer(self.file).encode_batch_fast(other, add_special_tokens=False)
+        for word, one in zip(other, encoded, strict=True):
             self.known[word] = np.asarray(one.ids, "<u4").tobytes()
-        for word, (core, end) in parts.items():
-            self.known[word] = self.known[core] + self.known[end]
-
-
-def _simple(word: str) -> tuple[str, str]:
-    """A word as (core, ending), whose ids in a row are the word's."""
-    word = word.lower() if word.isascii() else word
-    return (word[:-1], word[-1]) if word[-1:] in {".", ","} and word[:-1].isalpha() else (word, "")
-
-
-def _one_piece(word: str) -> bool:
-    """Whether the vocabulary's rules surely keep a part whole: letters of the first 256 codes."""
-    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
+        known = self.known
+        known.update([(w, known[w[:-1]] + known[w[-1]]) for w in ended])
+
+    def _lower(self, text: str) -> str:
+        """The text in lower case, if the vocabulary surely takes both for the same."""
+        lower = text.lower() if _is_latin(text) else text
+        return text if any(mark in lower for mark in self.marks) else lower
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all characters are among the first 256 codes, which no rule composes."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+    return True
 
 
 class CapacityTree:

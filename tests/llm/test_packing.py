@@ -57,6 +57,9 @@ def test_word_cache_equals_the_tokenizer():
         text = "".join(pick.choice(letters) for _ in range(pick.randint(0, 60)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want, repr(text)
+    for text in ("a<|EndOfText|> B", "a <|endoftext|> B.", "É, ÿŸ. ªµß. <|startoftext|", "İ, ΟΣ. A."):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want, repr(text)
 
 
 def test_best_fit_picks_the_tightest_window():
