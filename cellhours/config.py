@@ -31,6 +31,17 @@ class Rules:
     recent_runs_limit: int = 200
     feature_version: str = "v2-neighbours"
 
+    def __post_init__(self) -> None:
+        if self.slot_minutes <= 0 or (24 * 60) % self.slot_minutes:
+            raise ValueError("slot_minutes must divide a day")
+        if min((self.horizon_hours, *self.lag_hours, *self.neighbour_lag_hours)) < 1:
+            raise ValueError("horizon and lags are whole hours from 1 on")
+
+    def require_hourly(self) -> None:
+        """Lags, windows and the horizon count hours, so they need slots of one hour."""
+        if self.slot_minutes != 60:
+            raise ValueError("features need slots of 60 minutes")
+
     @property
     def slot_micros(self) -> int:
         return self.slot_minutes * 60_000_000

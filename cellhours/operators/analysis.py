@@ -17,6 +17,7 @@ from cellhours.operators.cells import (
 )
 from cellhours.operators.ordering import average_ranks
 from cellhours.schemas import CELL, KEYS, LABEL, SLOT, TARGET
+from cellhours.sources.scratch import materialise
 
 
 def transition_rates(features: DataFrame) -> DataFrame:
@@ -147,13 +148,63 @@ def lag_availability(features: DataFrame, rules: Rules = DEFAULT_RULES) -> DataF
     return shares.select(F.inline(F.array(*lines)))
 
 
+def _quantile_cuts(rows: DataFrame, bins: int, blocks: int = 256) -> DataFrame:
+    """Distinct exact quantiles i/bins of `value` per `feature`, as a sorted array `_cuts`.
+
+    A quantile is the first value whose running count reaches its share of the rows, rounded up.
+    Equal values are counted first. The values of a feature are then cut into blocks at rough
+    quantiles, so that running counts are taken per block, from the count of the blocks before;
+    where the blocks are cut does not change the result.
+    """
+    counted = materialise(
+        rows.where("value IS NOT NULL").groupBy("feature", "value").agg(F.count("*").alias("n")),
+        "quantile-counts",
+    )
+    at = [i / blocks for i in range(1, blocks)]
+    edges = counted.groupBy("feature").agg(F.percentile_approx("value", at).alias("_edges"))
+    # One row of at most `blocks` numbers per feature, whatever the number of rows.
+    tagged = counted.join(F.broadcast(edges), "feature").select(
+        "feature",
+        "value",
+        "n",
+        F.size(F.filter("_edges", lambda edge: edge < F.col("value"))).alias("_block"),
+    )
+    whole = Window.partitionBy("feature")
+    ahead = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        tagged.groupBy("feature", "_block")
+        .agg(F.sum("n").alias("_n"))
+        .select(
+            "feature",
+            "_block",
+            F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"),
+            F.sum("_n").over(whole).alias("_total"),
+        )
+    )
+    inside = (
+        Window.partitionBy("feature", "_block")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    share = f"(_total * i + {bins - 1}) div {bins}"
+    reached = (
+        f"exists(sequence(1L, {bins - 1}L), i -> _upto >= {share} AND _upto - n < {share})"
+    )
+    return (
+        tagged.join(F.broadcast(offsets), ["feature", "_block"])
+        .withColumn("_upto", F.sum("n").over(inside) + F.col("_before"))
+        .where(reached)
+        .groupBy("feature")
+        .agg(F.array_sort(F.collect_list("value")).alias("_cuts"))
+    )
+
+
 def psi_drift(
     reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10
 ) -> DataFrame:
     """Population stability index of each column between two periods.
 
-    Bins are cut at the deciles of the reference period and NULL is a bin of its own. The cuts
-    come from the bounded quantile sketch, which is exact up to ten thousand reference rows.
+    Bins are cut at the exact deciles of the reference period and NULL is a bin of its own.
     """
     floor = F.lit(1e-6)
 
@@ -163,18 +214,13 @@ def psi_drift(
             "_current", F.lit(current_flag)
         )
 
-    at = [i / bins for i in range(1, bins)]
-    cuts = (
-        long(reference, 0)
-        .groupBy("feature")
-        .agg(F.array_distinct(F.percentile_approx("value", at, 10_000)).alias("_cuts"))
-    )
+    cuts = _quantile_cuts(long(reference, 0).select("feature", "value"), bins)
     both = long(reference, 0).unionByName(long(current, 1))
     # One row per column of the table, so the broadcast does not grow with the data.
-    binned = both.join(F.broadcast(cuts), "feature").withColumn(
+    binned = both.join(F.broadcast(cuts), "feature", "left").withColumn(
         "bin",
         F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
-            F.size(F.filter("_cuts", lambda c: c < F.col("value")))
+            F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("value"))), F.lit(0))
         ),
     )
     counts = binned.groupBy("feature", "bin").agg(

@@ -77,9 +77,10 @@ def worst_reports(
 def worst_report_rows(observations: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Like :func:`worst_reports`, with every stored column.
 
-    Each column takes its first non-NULL value in the order (NIC, report time, disc, value).
+    Each column takes its first non-NULL value in the order (NIC, report time, value), which for
+    NACp is the order of the narrow form.
     """
-    ahead = ["nic", "observed_at", "sample_point"]
+    ahead = ["nic", "observed_at"]
     values = [
         c
         for c in observations.columns

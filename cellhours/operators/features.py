@@ -229,6 +229,7 @@ def build_features(
     collapse. ``require_target=False`` keeps the rows whose future is not known yet, which is
     what a forecast scores. ``pairs`` is the adjacency of cells from another grid.
     """
+    rules.require_hourly()
     panel = _with_hour(_panel(cells if unique else collapse_runs(cells), pairs))
     lags, trailing = _lag_columns(rules), _trailing_columns(rules)
     nbr_lags, target = _neighbour_lag_columns(rules), _target_column(rules)

@@ -222,7 +222,7 @@ FROM located""",
 
 
 def _first_known(column: str) -> str:
-    value = f"arg_min({column}, row(nic, observed_at, sample_point, {column})) FILTER (WHERE {column} IS NOT NULL)"
+    value = f"arg_min({column}, row(nic, observed_at, {column})) FILTER (WHERE {column} IS NOT NULL)"
     if column in {"lat", "lon"}:
         value = f"round({value}, 9)"
     return f"{value} AS {column}"
@@ -477,7 +477,8 @@ _add(
     "ev",
     also={
         "polled": """
-  SELECT h.eh, p.seq, e.site IS NOT NULL AND h.eh % 37 NOT IN (5, 6) AS ok
+  SELECT h.eh, p.seq < CASE h.eh % 41 WHEN 3 THEN 7 WHEN 4 THEN 0 ELSE 12 END AS reached, p.seq,
+         e.site IS NOT NULL AND h.eh % 37 NOT IN (5, 6) AS answered, reached AND answered AS ok
   FROM (SELECT DISTINCT eh FROM ev) h CROSS JOIN range(12) AS p(seq)
   LEFT JOIN (SELECT DISTINCT eh, site FROM ev) e ON e.eh = h.eh AND e.site = p.seq"""
     },
@@ -487,7 +488,7 @@ SELECT run_id, slot_start, points_attempted, points_succeeded, error,
             WHEN points_succeeded < points_attempted THEN 'partial' ELSE 'ok' END AS status
 FROM (SELECT 'run-' || eh AS run_id, make_timestamp(eh * 3600 * 1000000) AS slot_start,
              count(*) AS points_attempted, count(*) FILTER (WHERE ok) AS points_succeeded,
-             'no answer from p' || (min(seq) FILTER (WHERE NOT ok)) AS error
+             'no answer from p' || (min(seq) FILTER (WHERE reached AND NOT ok)) AS error
       FROM polled GROUP BY eh)""",
 )
 _add(

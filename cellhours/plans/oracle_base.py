@@ -45,7 +45,8 @@ REP = f"""
 
 OBS = f"""
   SELECT observed_at, date_trunc('hour', observed_at) AS slot_start, hex, lat, lon, altitude_ft,
-         nic, nac_p, 3 AS sil, aircraft_type, 'p' || disc AS sample_point,
+         nic, CASE WHEN disc = site THEN nac_p ELSE nac_p - event_id % 3 END AS nac_p, 3 AS sil,
+         aircraft_type, 'p' || disc AS sample_point,
          disc % 3 = 0 AS is_control_region, 'run-' || {_hour('observed_at')} AS ingest_run_id
   FROM (SELECT rep.*, (site + d) % 12 AS disc
         FROM rep, range(2) AS t(d)

@@ -450,7 +450,8 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sweep_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.sweep_status(events_view.polls(spark, sf_dir))
+    log = runs.run_state(events_view.run_events(spark, sf_dir))
+    return runs.sweep_status(events_view.polls(spark, sf_dir), log)
 
 
 @query

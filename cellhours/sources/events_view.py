@@ -28,6 +28,8 @@ _NAC_P = "if((event_id * 5 + i) % 13 <> 0, 8 + i % 4, NULL)"
 # Hours in which nothing was captured, and sweeps that never recorded their end.
 _OUTAGE = "% 37 IN (5, 6)"
 _OPEN_RUN = "% 50 = 0"
+# Sweeps that their deadline cut after seven discs, and before the first.
+_CUT_RUN = "CASE event_hour % 41 WHEN 3 THEN 7 WHEN 4 THEN 0 ELSE 12 END"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +51,10 @@ def _fanned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw reports at all altitudes, with capture outages and overlapping discs."""
+    """Raw reports at all altitudes, with capture outages and overlapping discs.
+
+    What two discs hear at the same instant may differ in NACp.
+    """
     reports = _fanned(spark, sf_dir).selectExpr(
         "event_id",
         "site",
@@ -67,7 +72,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     heard = captured.selectExpr(
         "*",
         "explode(if(event_id % 10 = 0, array(site, (site + 1) % 12), array(site))) AS disc",
-    ).withColumn("slot_start", slot_floor("observed_at"))
+    ).withColumns(
+        {
+            "slot_start": slot_floor("observed_at"),
+            "nac_p": F.expr("if(disc = site, nac_p, nac_p - event_id % 3)"),
+        }
+    )
     named = heard.selectExpr(
         "*",
         "3 AS sil",
@@ -119,10 +129,12 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sweep and disc: did the poll work, and with which error if not.
 
     A disc without an event in the hour counts as a failed poll; in an outage hour all fail.
+    Some sweeps were cut short and have no row for the discs they did not reach.
     """
     return (
         _answers_per_hour(spark, sf_dir)
-        .selectExpr("*", "explode(sequence(0, 11)) AS seq")
+        .selectExpr("*", "hour AS event_hour", "explode(sequence(0, 11)) AS seq")
+        .where(f"seq < {_CUT_RUN}")
         .selectExpr(
             "run_id",
             "slot_start",

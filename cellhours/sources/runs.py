@@ -37,22 +37,33 @@ def run_state(run_log: DataFrame) -> DataFrame:
     )
 
 
-def sweep_status(polls: DataFrame, persist_error: str | None = None) -> DataFrame:
+def sweep_status(
+    polls: DataFrame, planned: DataFrame, persist_error: str | None = None
+) -> DataFrame:
     """Outcome of each sweep from its polls.
 
+    ``planned`` has one row per sweep (run_id, slot_start, points_attempted): a sweep that its
+    deadline cut short counts all discs it set out for, and one that polled none is listed too.
     No disc answered: failed. Some did not: partial. The error text is that of the first poll
     that failed. ``persist_error`` names a column with the error of the final write, if any;
     such a sweep is failed whatever its discs said.
     """
     failed = F.when(F.col("error").isNotNull(), F.col("seq"))
     counts = [
-        F.count(F.lit(1)).alias("points_attempted"),
-        F.count_if("ok").alias("points_succeeded"),
+        F.count_if("ok").alias("_answered"),
         F.min_by("error", failed).alias("error"),
     ]
     if persist_error is not None:
         counts.append(F.max(persist_error).alias("_write_error"))
-    runs = polls.groupBy("run_id", "slot_start").agg(*counts)
+    polled = polls.groupBy("run_id").agg(*counts)
+    sweeps = planned.select(
+        "run_id", "slot_start", F.col("points_attempted").cast("bigint").alias("points_attempted")
+    )
+    runs = (
+        sweeps.join(polled, "run_id", "left")
+        .withColumn("points_succeeded", F.coalesce("_answered", F.lit(0)))
+        .drop("_answered")
+    )
     status = (
         F.when(F.col("points_succeeded") == 0, "failed")
         .when(F.col("points_succeeded") < F.col("points_attempted"), "partial")

@@ -137,12 +137,14 @@ def test_nac_p_is_the_first_known_in_nic_order(spark):
         report("a", 4, at + timedelta(minutes=1), nac_p=10),
         report("a", 9, at, nac_p=1),
         report("b", 9, at, nac_p=None),
+        report("c", 5, at, nac_p=9, disc="d1"),  # two discs at one instant: the lower NACp
+        report("c", 5, at, nac_p=7, disc="d2"),
         report(None, 0, at),
     ]
     located = cells.assign_cells(observations(spark, rows))
     lean = {r.hex: (r.nic, r.nac_p) for r in cells.worst_reports(located).collect()}
     full = {r.hex: (r.nic, r.nac_p) for r in cells.worst_report_rows(located).collect()}
-    assert lean == full == {"a": (2, 10), "b": (9, None)}
+    assert lean == full == {"a": (2, 10), "b": (9, None), "c": (5, 7)}
 
 
 def test_negative_nic_and_wide_slots_keep_their_order(spark):

@@ -5,6 +5,7 @@ from datetime import timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellhours.operators import analysis, evaluation
 from cellhours.operators.ordering import average_ranks, running_totals
@@ -156,6 +157,18 @@ def test_psi_is_zero_without_drift_and_large_with_it(spark):
     assert got["a"] > 1.0
 
 
+def test_psi_cuts_are_exact_at_any_size(spark):
+    values = np.r_[np.random.default_rng(3).normal(size=29_989).round(4), np.zeros(5000)]
+    rows = spark.createDataFrame([(float(v),) for v in values], "value double")
+    both = rows.withColumn("feature", F.lit("x")).unionByName(
+        spark.createDataFrame([("y", 1.0), ("y", 2.0), ("y", None)], "feature string, value double")
+    )
+    got = {r.feature: r._cuts for r in analysis._quantile_cuts(both, 10).collect()}
+    ordered = np.sort(values)
+    picks = [ordered[-(-len(values) * d // 10) - 1] for d in range(1, 10)]
+    assert got == {"x": sorted(set(picks)), "y": [1.0, 2.0]}
+
+
 def test_transition_rates(spark):
     rows = table(spark, [(HOME_CELL, 0, 0, 1), (HOME_CELL, 1, 0, 0), (HOME_CELL, 2, 1, 0),
                          (HOME_CELL, 3, 1, 1)])

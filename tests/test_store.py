@@ -142,13 +142,20 @@ def test_sweep_status(spark):
     polls += [("part", 1, False, "first", None)]
     polls += [("none", i, False, f"e{i}", None) for i in range(2)]
     polls += [("lost", i, True, None, "no disk") for i in range(2)]
+    polls += [("cut", i, True, None, None) for i in range(2)]
     frame = spark.createDataFrame(
         polls, "run_id string, seq int, ok boolean, error string, write_error string"
     ).withColumn("slot_start", F.lit(T0))
-    got = {r.run_id: r for r in runs.sweep_status(frame, persist_error="write_error").collect()}
+    planned = [("ok", 3), ("part", 3), ("none", 2), ("lost", 2), ("cut", 9), ("idle", 4)]
+    log = spark.createDataFrame(planned, "run_id string, points_attempted int")
+    rows = runs.sweep_status(frame, log.withColumn("slot_start", F.lit(T0)), "write_error")
+    got = {r.run_id: r for r in rows.collect()}
     assert {k: r.status for k, r in got.items()} == {
-        "ok": "ok", "part": "partial", "none": "failed", "lost": "failed"
+        "ok": "ok", "part": "partial", "none": "failed", "lost": "failed", "cut": "partial",
+        "idle": "failed",
     }
+    assert (got["cut"].points_attempted, got["cut"].points_succeeded) == (9, 2)
+    assert (got["idle"].points_succeeded, got["idle"].error) == (0, None)
     assert (got["part"].error, got["none"].error, got["lost"].error) == ("first", "e0", "no disk")
     assert got["lost"].points_succeeded == 2
 
