@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,83 +18,101 @@ from cellhours.sources.scratch import materialise
 
 REST = "\0rest"  # every source without a weight of its own
 MAX_SOURCES = 256
+GRAIN = 1 << 20  # a slot this part of one away from a whole slot counts as that slot
 
 
 @dataclass(frozen=True)
-class Phase:
-    """A stretch of the schedule with constant shares: `slots[s]` are the slots of source s in a
-    period of `period` slots, from block `first[s]` of the source on, beginning at slot `start`."""
+class Stretch:
+    """Consecutive slots of the schedule, from slot `start` on: `blocks` has (source, block of the
+    source, phase) of each slot."""
 
     start: int
-    period: int
-    length: int
-    first: dict[str, int]
-    slots: dict[str, list[int]]
-
-
-def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Whole slots per period, at least one each, by largest remainders."""
-    total = math.fsum(weights.values())
-    spare = period - len(weights)
-    exact = {s: spare * w / total for s, w in weights.items()}
-    out = {s: 1 + int(x) for s, x in exact.items()}
-    left = period - sum(out.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:left]:
-        out[s] += 1
-    return out
+    blocks: list[tuple[str, int, int]]
+
+    @property
+    def length(self) -> int:
+        return len(self.blocks)
+
+
+def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Integers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = math.lcm(*(w.denominator for w in exact.values()))
+    return {s: w.numerator * (unit // w.denominator) for s, w in exact.items()}
+
+
+def plan(
+    blocks: Mapping[str, int], weights: Mapping[str, float], period: int
+) -> Iterator[Stretch]:
+    """The schedule that places every block once, in stretches of `period` slots.
+
+    Its target is the fluid schedule: all sources that are not used up grow at once, in proportion
+    to their weights, by one block per slot together. A phase ends where one is used up there.
+    With turn v = blocks / weight, a source of n blocks has min(n, w * v) at turn v, and so
+    the slot of a turn is the sum of these. Block k may not run before the slot of turn k / w,
+    rounded down, and must have run before that of turn (k + 1) / w, rounded up. The blocks that
+    have to fit between any two slots are no more than the fluid schedule has there, so earliest
+    deadline first among the released blocks meets every deadline: at any slot, over all phases,
+    a source is less than one block off the fluid schedule. Weights are taken as exact rationals;
+    releases up to 1 / GRAIN before a whole slot, and deadlines after it, are put on it, which still
+    leaves room for all blocks as their number between two slots is whole.
+    """
+    left = {s: n for s, n in blocks.items() if n > 0}
+    if not left:
+        return
+    whole = whole_weights({s: weights[s] for s in left})
+    ends: list[float] = []  # turns at which a source is used up
+    placed, active = [0], [sum(whole.values())]  # before each: blocks of used-up sources, weight
+    for turn, s in sorted((n / whole[s], s) for s, n in left.items()):
+        if not ends or ends[-1] < turn:
+            ends.append(turn)
+            placed.append(placed[-1])
+            active.append(active[-1])
+        placed[-1] += left[s]
+        active[-1] -= whole[s]
+
+    def released(source: str, block: int) -> int:
+        i, weight = bisect_left(ends, block / whole[source]), whole[source]
+        return placed[i] + (block * active[i] * GRAIN + weight) // (weight * GRAIN)
+
+    def due(source: str, block: int) -> int:
+        i, weight = bisect_left(ends, (block + 1) / whole[source]), whole[source]
+        return placed[i] - (weight - (block + 1) * active[i] * GRAIN) // (weight * GRAIN)
+
+    # The slot where each phase ends; a source that is used up there gives the exact ratio.
+    last = {n / whole[s]: s for s, n in left.items()}
+    phase_ends = [due(last[turn], left[last[turn]] - 1) for turn in ends]
+    done = dict.fromkeys(left, 0)
+    waiting = [(0, s) for s in sorted(left)]
+    ready: list[tuple[int, str]] = []
+    stretch: list[tuple[str, int, int]] = []
+    phase = 0
+    total = sum(left.values())
+    for slot in range(total):
+        while waiting and (waiting[0][0] <= slot or not ready):
+            _, s = heapq.heappop(waiting)
+            heapq.heappush(ready, (due(s, done[s]), s))
+        _, s = heapq.heappop(ready)
+        while phase_ends[phase] <= slot:
+            phase += 1
+        stretch.append((s, done[s], phase))
+        done[s] += 1
+        if done[s] < left[s]:
+            heapq.heappush(waiting, (released(s, done[s]), s))
+        if len(stretch) == period or slot == total - 1:
+            yield Stretch(slot + 1 - len(stretch), stretch)
+            stretch = []
 
 
 def pfair_period(share: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period of sum(share) slots.
-
-    Block k of a source with weight w may not run before slot floor(k / w) and must have run
-    before slot ceil((k + 1) / w). Earliest deadline first among the released blocks meets every
-    deadline, so after any t slots a source has had less than one block more or fewer than w * t.
-    """
-    period = sum(share.values())
+    """The slots of each source in one period of sum(share) slots."""
     slots: dict[str, list[int]] = {s: [] for s in share}
-    waiting = [(0, s) for s in sorted(share)]
-    ready: list[tuple[int, str]] = []
-    heapq.heapify(waiting)
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, source = heapq.heappop(waiting)
-            done = len(slots[source])
-            heapq.heappush(ready, (-(-(done + 1) * period // share[source]), source))
-        _, source = heapq.heappop(ready)
-        slots[source].append(slot)
-        done = len(slots[source])
-        if done < share[source]:
-            heapq.heappush(waiting, (done * period // share[source], source))
+    for stretch in plan(share, share, max(1, sum(share.values()))):
+        for slot, (source, _, _) in enumerate(stretch.blocks, stretch.start):
+            slots[source].append(slot)
     return slots
 
 
-def plan(blocks: Mapping[str, int], weights: Mapping[str, float], period: int) -> list[Phase]:
-    """Phases that place every block once. A phase ends when a source has run out; the others go
-    on with their weights in the same proportion."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    phases: list[Phase] = []
-    start = 0
-    while left:
-        share = quotas({s: weights[s] for s in left}, period)
-        slots = pfair_period(share)
-
-        def end_of(source: str) -> int:
-            cycles, rest = divmod(left[source] - 1, len(slots[source]))
-            return cycles * period + slots[source][rest] + 1
-
-        length = min(map(end_of, left))
-        first = {s: blocks[s] - left[s] for s in left}
-        phases.append(Phase(start, period, length, first, slots))
-        cycles, rest = divmod(length, period)
-        for s in list(left):
-            left[s] -= cycles * len(slots[s]) + sum(x < rest for x in slots[s])
-            if left[s] <= 0:
-                del left[s]
-        start += length
-    return phases
-
-
 def mix_sources(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
@@ -105,17 +126,16 @@ def mix_sources(
     """Every row of `docs` once, plus `mix_source`, `phase`, `block` and `position` (BIGINT).
 
     Rows of a source are put in hash order of their id and cut into blocks of `block_rows`.
-    Blocks are the jobs of a Pfair schedule: earliest deadline first, by target weight, so that
-    before any block of a phase each source is less than one block off its share. When a source
-    has run out a new phase begins, in which the rest keep their proportions: nothing is
+    Blocks are the jobs of a Pfair schedule: earliest deadline first, by exact target weight, so
+    that before any block each source is less than one block off its target (see `plan`). When a
+    source has run out a new phase begins, in which the rest keep their proportions: nothing is
     repeated, dropped or cut to reach a weight. `position` counts the rows in schedule order; it
     has gaps where a source's last block is not full.
 
     `weights` names the sources that have a weight; all others, NULL included, share
     `rest_weight` as one source. Without `weights` each source gets its row count to `power`
-    (0: all alike, 1: as they come); beyond the largest 256 they are one source. Weights are kept
-    to 1 / `period`. The plan's size depends on these two bounds and not on the rows: the
-    schedule repeats after `period` slots, and a row finds its slot by division. Rows with equal
+    (0: all alike, 1: as they come); beyond the largest 256 they are one source. `period`: slots
+    that the schedule hands on at a time; the result does not depend on it. Rows with equal
     or NULL ids are ordered by the hash of all columns. Input columns called like a new one are
     replaced.
     """
@@ -139,18 +159,11 @@ def mix_sources(
         .agg(F.sum("n").alias("n"))
         .collect()  # one row per weight
     }
-    phases = plan(
-        {s: -(-n // block_rows) for s, n in rows.items()}, {**weights, REST: rest_weight}, period
-    )
-    schedule = spark.createDataFrame(
-        [
-            (s, i, p.start, p.first[s], p.period, p.slots[s])
-            for i, p in enumerate(phases)
-            for s in p.slots
-        ],
-        "mix_source string, phase bigint, _start bigint, _first bigint, _period bigint,"
-        " _slots array<bigint>",
+    sources = spark.createDataFrame(
+        [(s, -(-n // block_rows), float(weights.get(s, rest_weight))) for s, n in rows.items()],
+        "source string, blocks bigint, weight double",
     )
+    schedule = materialise(_schedule(sources, period), "mix-schedule")
     spread, rank = fresh_name(kept, "spread"), fresh_name(kept, "rank")
     tie = fresh_name(kept, "tie")
     ranked = number_rows(
@@ -161,25 +174,8 @@ def mix_sources(
         [spread, tie],
         rank,
     ).withColumn("block", F.expr(f"`{rank}` div {block_rows}"))
-    # At most 256 phases of 4096 slots: bounded by the parameters, whatever the table holds.
-    ends = F.broadcast(
-        schedule.withColumn(
-            "_until",
-            F.coalesce(
-                F.expr("lead(_first) OVER (PARTITION BY mix_source ORDER BY phase)"),
-                F.lit((1 << 63) - 1),
-            ),
-        )
-    )
-    placed = (
-        ranked.join(ends, "mix_source")
-        .where("block >= _first AND block < _until")
-        .withColumn("_k", F.expr("block - _first"))
-        .withColumn(
-            "_slot",
-            F.expr("_start + (_k div size(_slots)) * _period + _slots[int(_k % size(_slots))]"),
-        )
-        .withColumn("position", F.expr(f"_slot * {block_rows} + `{rank}` % {block_rows}"))
+    placed = ranked.join(schedule, ["mix_source", "block"]).withColumn(
+        "position", F.expr(f"_slot * {block_rows} + `{rank}` % {block_rows}")
     )
     return placed.select(
         *kept.columns,
@@ -188,3 +184,30 @@ def mix_sources(
         "block",
         "position",
     )
+
+
+def _schedule(sources: DataFrame, period: int) -> DataFrame:
+    """mix_source, block, phase and _slot of every block of the sources (source, blocks, weight).
+
+    One task walks through the slots, as each choice depends on the ones before it; it holds the
+    sources and one stretch, and steps once per block and not per row.
+    """
+    names = ["mix_source", "block", "phase", "_slot"]
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[str, int] = {}
+        weights: dict[str, float] = {}
+        for part in parts:
+            found, count, weight = (c.to_pylist() for c in part.columns)
+            blocks.update(zip(found, count, strict=True))
+            weights.update(zip(found, weight, strict=True))
+        for stretch in plan(blocks, weights, period):
+            source, block, phase = zip(*stretch.blocks, strict=True)
+            slots = range(stretch.start, stretch.start + stretch.length)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(source, pa.string()), *(pa.array(c, pa.int64()) for c in (block, phase, slots))],
+                names,
+            )
+
+    schema = "mix_source string, block bigint, phase bigint, _slot bigint"
+    return sources.coalesce(1).mapInArrow(batches, schema)
