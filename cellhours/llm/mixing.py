@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from cellhours.llm.common import fresh_name, number_rows
 from cellhours.sources.scratch import materialise
 
-REST = "\0rest"  # every source without a weight of its own
-MAX_SOURCES = 256
+REST = ""  # key of every row without a source of its own; the others are "=" and the source
 GRAIN = 1 << 20  # a slot this part of one away from a whole slot counts as that slot
 
 
@@ -132,54 +131,54 @@ def mix_sources(
     repeated, dropped or cut to reach a weight. `position` counts the rows in schedule order; it
     has gaps where a source's last block is not full.
 
-    `weights` names the sources that have a weight; all others, NULL included, share
-    `rest_weight` as one source. Without `weights` each source gets its row count to `power`
-    (0: all alike, 1: as they come); beyond the largest 256 they are one source. `period`: slots
-    that the schedule hands on at a time; the result does not depend on it. Rows with equal
-    or NULL ids are ordered by the hash of all columns. Input columns called like a new one are
-    replaced.
+    `weights` names the sources that have a weight, any number of them; all others, NULL included,
+    share `rest_weight` as one source. Without `weights` each source, NULL too, gets its row count
+    to `power` (0: all alike, 1: as they come). `period`: slots that the schedule hands on at a
+    time; the result does not depend on it. Rows with equal or NULL ids are ordered by the hash of
+    all columns. Input columns called like a new one are replaced.
     """
     new = ["mix_source", "phase", "block", "position"]
     kept = docs.select(*[c for c in docs.columns if c.lower() not in new])
     spark = docs.sparkSession
-    counts = materialise(kept.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n")), "mix")
-    if weights is None:
-        top = counts.where("s IS NOT NULL").orderBy(F.desc("n"), "s").limit(MAX_SOURCES - 1)
-        weights = {str(r.s): float(r.n) ** power for r in top.collect()}
-        rest = counts.where(~F.coalesce(F.col("s").isin(*weights), F.lit(False)))
-        rest_weight = float(rest.agg(F.sum("n")).first()[0] or 1) ** power
-    if len(weights) >= MAX_SOURCES or any(w <= 0 for w in [*weights.values(), rest_weight]):
-        raise ValueError(f"up to {MAX_SOURCES - 1} sources may have a weight, all above 0")
-    named = F.when(F.col(source).isin(*weights), F.col(source).cast("string")).otherwise(REST)
-    rows = {
-        r.s: r.n
-        for r in counts.groupBy(
-            F.when(F.col("s").isin(*weights), F.col("s").cast("string")).otherwise(REST).alias("s")
+    key, given, spread, tie, rank, slot = (
+        fresh_name(kept, n) for n in ("key", "given", "spread", "tie", "rank", "slot")
+    )
+    keyed = kept.withColumn(
+        key, F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(REST))
+    )
+    weight = F.pow(F.count(F.lit(1)), F.lit(float(power)))
+    if weights is not None:
+        if any(not 0 < w < math.inf for w in [*weights.values(), rest_weight]):
+            raise ValueError("weights must be above 0 and finite")
+        named = spark.createDataFrame(
+            [(f"={s}", float(w)) for s, w in weights.items()], f"`{key}` string, `{given}` double"
         )
-        .agg(F.sum("n").alias("n"))
-        .collect()  # one row per weight
-    }
-    sources = spark.createDataFrame(
-        [(s, -(-n // block_rows), float(weights.get(s, rest_weight))) for s, n in rows.items()],
-        "source string, blocks bigint, weight double",
+        keyed = keyed.join(F.broadcast(named), key, "left").withColumn(  # as large as the argument
+            key, F.when(F.col(given).isNotNull(), F.col(key)).otherwise(REST)
+        )
+        weight = F.coalesce(F.max(given), F.lit(float(rest_weight)))
+    sources = keyed.groupBy(key).agg(
+        F.expr(f"(count(1) + {block_rows - 1}) div {block_rows}").alias("blocks"),
+        weight.alias("weight"),
+    )
+    sources = materialise(sources, "mix-sources")
+    schedule = materialise(
+        _schedule(sources, period).toDF(key, "block", "phase", slot), "mix-schedule"
     )
-    schedule = materialise(_schedule(sources, period), "mix-schedule")
-    spread, rank = fresh_name(kept, "spread"), fresh_name(kept, "rank")
-    tie = fresh_name(kept, "tie")
     ranked = number_rows(
-        kept.withColumn("mix_source", named)
-        .withColumn(spread, F.xxhash64(doc_id, F.lit("mix")))
-        .withColumn(tie, F.xxhash64(*kept.columns)),
-        ["mix_source"],
+        keyed.withColumn(spread, F.xxhash64(doc_id, F.lit("mix"))).withColumn(
+            tie, F.xxhash64(*kept.columns)
+        ),
+        [key],
         [spread, tie],
         rank,
     ).withColumn("block", F.expr(f"`{rank}` div {block_rows}"))
-    placed = ranked.join(schedule, ["mix_source", "block"]).withColumn(
-        "position", F.expr(f"_slot * {block_rows} + `{rank}` % {block_rows}")
+    placed = ranked.join(schedule, [key, "block"]).withColumn(
+        "position", F.expr(f"`{slot}` * {block_rows} + `{rank}` % {block_rows}")
     )
     return placed.select(
         *kept.columns,
-        F.when(F.col("mix_source") != REST, F.col("mix_source")).alias("mix_source"),
+        F.when(F.col(key) != REST, F.substring(key, 2, 1 << 30)).alias("mix_source"),
         "phase",
         "block",
         "position",
@@ -187,12 +186,12 @@ def mix_sources(
 
 
 def _schedule(sources: DataFrame, period: int) -> DataFrame:
-    """mix_source, block, phase and _slot of every block of the sources (source, blocks, weight).
+    """source, block, phase and slot of every block of the sources (name, blocks, weight).
 
     One task walks through the slots, as each choice depends on the ones before it; it holds the
     sources and one stretch, and steps once per block and not per row.
     """
-    names = ["mix_source", "block", "phase", "_slot"]
+    names = ["source", "block", "phase", "slot"]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[str, int] = {}
@@ -209,5 +208,5 @@ def _schedule(sources: DataFrame, period: int) -> DataFrame:
                 names,
             )
 
-    schema = "mix_source string, block bigint, phase bigint, _slot bigint"
+    schema = "source string, block bigint, phase bigint, slot bigint"
     return sources.coalesce(1).mapInArrow(batches, schema)

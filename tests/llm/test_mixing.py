@@ -54,3 +54,24 @@ def test_lag_against_the_target_weights_over_many_periods(spark):
         done[r.mix_source] += 1
         assert all(abs(done[s] - w * slot) < 1 for s, w in weights.items()), slot
     assert slot > 40 * 64
+
+
+def test_every_source_has_its_share_beyond_255_and_null(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.expr("if(id % 301 = 300, null, concat('s', id % 301))").alias("source"),
+    ).where("doc_id % 301 > 9 or doc_id < 2107")
+    counts = {r.source: r["count"] for r in docs.groupBy("source").count().collect()}
+    assert len(counts) == 301 and len(set(counts.values())) > 1
+    for weights in (None, {f"s{i}": 1.0 + i % 7 for i in range(300)}):
+        rows = mix_sources(docs, weights, block_rows=1).orderBy("position").collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect())
+        assert all(r.mix_source == r.source for r in rows)
+        target = {s: (weights or {}).get(s, n**0.5 if weights is None else 1.0) for s, n in counts.items()}
+        total, done = sum(target.values()), dict.fromkeys(counts, 0)
+        for slot, r in enumerate(rows, 1):
+            if r.phase:
+                break
+            done[r.mix_source] += 1
+            assert all(abs(done[s] - w * slot / total) < 1 for s, w in target.items()), slot
+        assert slot > 301
