@@ -170,6 +170,7 @@ def simhash_components(
     text: str = "text",
     shingle: int = 4,
     max_distance: int = 4,
+    root: str | None = None,
 ) -> DataFrame:
     """Every row of `docs` without its text, plus `fingerprint` and `component_id`.
 
@@ -177,9 +178,12 @@ def simhash_components(
     id reachable over links of at most `max_distance` differing bits. A NULL or blank text has
     fingerprint zero and links like any other. Rows with a NULL id get a component as the rest,
     but no component is named after them (it is NULL if it has no other rows). Repeated rows
-    share their fingerprint. Columns of the input called like the two new ones are replaced.
+    share their fingerprint. `root` names a further BIGINT column, one of the component's
+    fingerprints that is the same in all its rows: components can have the same id or none. Columns
+    of the input called like the new ones are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in {"fingerprint", "component_id"}]
+    new = {"fingerprint", "component_id", *([root.lower()] if root else [])}
+    kept = [c for c in docs.columns if c.lower() not in new]
     mark = fresh_name(docs, "fp")
     marked = materialise(fingerprints(docs.select(*kept), text, mark, shingle), "simhash-marks")
     classes = materialise(
@@ -191,7 +195,12 @@ def simhash_components(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     tops = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_mark = named.join(tops, "root").select(F.col("fp").alias(mark), "component_id")
+    of_mark = named.join(tops, "root").select(F.col("fp").alias(mark), "root", "component_id")
+    if root:
+        kept.append(root)
+        of_mark = of_mark.withColumnRenamed("root", root)
+    else:
+        of_mark = of_mark.drop("root")
     return marked.join(of_mark, mark).select(
         *[c for c in kept if c != text],
         F.lower(F.lpad(F.hex(mark), 16, "0")).alias("fingerprint"),
