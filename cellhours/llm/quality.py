@@ -28,14 +28,15 @@ DIMS = 6
 class OutlierRules:
     """Limits of the outlier test.
 
-    `least_rows`: smaller groups are pooled, first with the small groups of their language, then
-    with those of all. `core`: share of a group that the determinant is minimised over. `steps`:
+    `shrink`: the estimate of a source in a language has the weight 1 - shrink / rows beside that
+    of the language, and none below so many rows (six dimensions need them); likewise a language
+    beside all texts. `core`: share of a group that the determinant is minimised over. `steps`:
     most concentration steps. `tail`: probability beyond the limit under a normal law. `floors`:
     spread that is added to each transformed statistic; it keeps a statistic that is constant in
     most texts (no symbols, no repeats) from rejecting the first text that has a little of it.
     """
 
-    least_rows: int = 200
+    shrink: float = 30.0
     core: float = 0.75
     steps: int = 5
     tail: float = 1e-9
@@ -177,25 +178,58 @@ def _cholesky(rows: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def assign_models(rows: DataFrame, lang: str, source: str, rules: OutlierRules) -> DataFrame:
-    """(lang, source, model): which estimate judges the texts of a language and source."""
-    sizes = rows.groupBy(
-        F.coalesce(F.col(lang).cast("string"), F.lit("\0")).alias("lang"),
-        F.coalesce(F.col(source).cast("string"), F.lit("\0")).alias("source"),
-    ).agg(F.count(F.lit(1)).alias("n"))
-    pooled = sizes.withColumn(
+ALL = "a"  # the model of all texts; those of a language and of a source in it have other prefixes
+
+
+def with_group(rows: DataFrame, lang: str, source: str) -> DataFrame:
+    """`rows` with their group: `lang` and `source` as text, and the names of their models."""
+    as_text = [
+        F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(n)
+        for c, n in ((lang, "lang"), (source, "source"))
+    ]
+    return rows.select(*as_text, *[c for c in rows.columns if c not in {"lang", "source"}]).select(
+        "*",
+        F.concat(F.lit("l"), "lang").alias("of_lang"),
+        F.concat(F.lit("s"), "lang", F.lit("\1"), "source").alias("of_source"),
+    )
+
+
+def _shrunk(params: DataFrame, above: DataFrame, rules: OutlierRules) -> DataFrame:
+    """The estimates of `params` (model, parent, n) drawn towards those of their parents in `above`.
+
+    Centre and covariance are those of the mixture of the two laws. The weight is continuous in the
+    size of the model, so one row more never switches the estimate that judges a text.
+    """
+    names = [f"m{i}" for i in range(DIMS)] + [f"l{i}{j}" for i, j in _pairs()]
+    upper = above.select(F.col("model").alias("parent"), *[F.col(c).alias(f"p{c}") for c in names])
+    w = f"greatest(0D, 1 - {rules.shrink!r}D / n)"
+
+    def covariance(i: int, j: int, prefix: str) -> str:
+        return " + ".join(f"{prefix}l{i}{k} * {prefix}l{j}{k}" for k in range(j + 1))
+
+    mixed = params.join(upper, "parent").select(
         "model",
-        F.when(F.col("n") >= rules.least_rows, F.concat("lang", F.lit("\1"), "source")).otherwise(
-            F.concat("lang", F.lit("\1"))
-        ),
+        *[F.expr(f"{w} * m{i} + (1 - {w}) * pm{i}").alias(f"m{i}") for i in range(DIMS)],
+        *[
+            F.expr(
+                f"{w} * ({covariance(i, j, '')}) + (1 - {w}) * ({covariance(i, j, 'p')})"
+                f" + {w} * (1 - {w}) * (m{i} - pm{i}) * (m{j} - pm{j})"
+            ).alias(f"c{i}{j}")
+            for i, j in _pairs()
+        ],
     )
-    # A language's small sources together may still be few.
-    big = pooled.groupBy("model").agg(F.sum("n").alias("all_n"))
-    return pooled.join(big, "model").select(
-        "lang",
-        "source",
-        F.when(F.col("all_n") >= rules.least_rows, F.col("model")).otherwise("\1").alias("model"),
+    return _cholesky(mixed, ["model"])
+
+
+def shrink_models(params: DataFrame, groups: DataFrame, rules: OutlierRules) -> DataFrame:
+    """Centre and Cholesky factor of every group (of_source, of_lang, n), by its model name."""
+    langs = groups.groupBy(F.col("of_lang").alias("model")).agg(F.sum("n").alias("n"))
+    langs = langs.withColumn("parent", F.lit(ALL)).join(params, "model")
+    of_lang = materialise(
+        _shrunk(langs, params.where(F.col("model") == ALL), rules), "quality-langs"
     )
+    sources = groups.selectExpr("of_source AS model", "of_lang AS parent", "n")
+    return _shrunk(sources.join(params, "model"), of_lang, rules)
 
 
 def _start(vectors: DataFrame, rules: OutlierRules) -> DataFrame:
@@ -307,7 +341,8 @@ def _judged(
     keyed = stats.withColumn(a, F.coalesce(F.col(lang).cast("string"), F.lit("\0"))).withColumn(
         b, F.coalesce(F.col(source).cast("string"), F.lit("\0"))
     )
-    models = names.join(params, "model").withColumnsRenamed({"lang": a, "source": b}).drop("model")
+    models = names.withColumnsRenamed({"of_source": "model", "lang": a, "source": b})
+    models = models.select(a, b, "model").join(params, "model").drop("model")
     far = with_distance(with_vector(keyed).join(models, [a, b], "left"), "d2")
     return far.select(
         *stats.columns,
@@ -330,8 +365,9 @@ def quality_rules(
     `kept` is false if the base rule fails or if the text's transformed statistics lie further
     from the centre of its language and source, by Mahalanobis distance, than the limit of
     `rules`. Only texts that pass the base rule shape the estimates. NULL texts have no words and
-    fail; a NULL language or source is a group of its own. Where all small groups together are
-    fewer than `least_rows` they are judged by each other. Repeated rows get equal verdicts.
+    fail; a NULL language or source is a group of its own. Every group has an estimate of its own,
+    drawn towards that of its language, and that towards the one of all texts, the more the fewer
+    rows it has. Repeated rows get equal verdicts.
     Input columns called like a new one are replaced. Without `with_text` the text is left out
     of the result, and texts are read once instead of twice.
     """
@@ -351,17 +387,21 @@ def quality_rules(
         stats = measured = materialise(stats.drop(text), "quality-statistics")
         in_lang, in_source = lang, source
     passed = measured.where("NOT base_failed")
-    names = materialise(assign_models(passed, in_lang, in_source, rules), "quality-models")
     vectors = materialise(
-        with_vector(passed)
-        .select(
-            F.coalesce(F.col(in_lang).cast("string"), F.lit("\0")).alias("lang"),
-            F.coalesce(F.col(in_source).cast("string"), F.lit("\0")).alias("source"),
-            *[f"x{i}" for i in range(DIMS)],
-        )
-        .join(names, ["lang", "source"])
-        .select("model", *[f"x{i}" for i in range(DIMS)]),
+        with_group(with_vector(passed), in_lang, in_source).select(
+            "lang", "source", "of_lang", "of_source", *[f"x{i}" for i in range(DIMS)]
+        ),
         "quality-vectors",
     )
-    params = fit_outliers(vectors, rules)
+    names = materialise(
+        vectors.groupBy("lang", "source", "of_lang", "of_source").agg(F.count(F.lit(1)).alias("n")),
+        "quality-models",
+    )
+    levels = vectors.select(
+        F.explode(F.array("of_source", "of_lang", F.lit(ALL))).alias("model"),
+        *[f"x{i}" for i in range(DIMS)],
+    )
+    params = materialise(
+        shrink_models(fit_outliers(levels, rules), names, rules), "quality-shrunk"
+    )
     return _judged(stats, names, params, lang, source, chi_square_limit(rules.tail))
