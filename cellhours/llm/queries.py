@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellhours.llm.alignment import align_tokenizers
 from cellhours.llm.common import table
 from cellhours.llm.mixing import mix_sources
 from cellhours.llm.neighbours import nearest_neighbours
@@ -113,6 +114,12 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups of every document by two tokenizers, and its links by how common they are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
     from corpus_pipeline import run  # the pipeline itself imports the operators
@@ -133,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_repeats,
         op10_neighbours,
+        op11_alignment,
         pipeline,
     )
 }
