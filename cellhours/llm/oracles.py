@@ -1,9 +1,25 @@
 """Check SQL for the corpus queries, where DuckDB can express them.
 
-None so far: every one of the queries rests on hashes (XXH64, CRC-32), a tokenizer, a trained
-model or byte strings that DuckDB's SQL does not have. The tests compare them with brute force.
+Most rest on hashes (XXH64, CRC-32), a tokenizer, a trained model or byte strings that DuckDB's
+SQL does not have. The tests compare those with brute force.
 """
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), h AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes,
+                   sha256(payload) AS payload_digest FROM p
+        ), k AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM h
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> head THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> head THEN head END AS refers_to
+        FROM k
+    """,
+}

@@ -19,6 +19,7 @@ from cellhours.llm.sharding import shard_records
 from cellhours.llm.simhash import simhash_components
 from cellhours.llm.tokens import token_counts
 from cellhours.llm.toxicity import fit_toxicity, score_toxicity
+from cellhours.llm.warc import archive_and_read
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +121,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(docs)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives with a shared dictionary, and read back from them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return archive_and_read(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
     from corpus_pipeline import run  # the pipeline itself imports the operators
@@ -141,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeats,
         op10_neighbours,
         op11_alignment,
+        op12_warc,
         pipeline,
     )
 }
