@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellhours.llm.alignment import align_tokenizers
 from cellhours.llm.common import table
 from cellhours.llm.mixing import mix_sources
+from cellhours.llm.negatives import mine_hard_negatives
 from cellhours.llm.neighbours import nearest_neighbours
 from cellhours.llm.packing import pack_documents
 from cellhours.llm.pii import KINDS, find_pii, spans_text
@@ -129,6 +130,19 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector; labels of every 7th are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings").where(
+        "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
+    )
+    moved = rows.selectExpr(
+        "vec_id",
+        "if(vec_id % 7 = 0, (label + 1) % 10, label) AS label",
+        "transform(embedding, x -> floor(256 * CAST(x AS double))) AS vector",
+    )
+    return mine_hard_negatives(moved, every=100, positives=5, negatives=5, window=(80, 100))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
     from corpus_pipeline import run  # the pipeline itself imports the operators
@@ -151,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_neighbours,
         op11_alignment,
         op12_warc,
+        op13_negatives,
         pipeline,
     )
 }
