@@ -24,11 +24,11 @@ ORACLES: dict[str, str] = {
     """,
     "op13_negatives": """
         WITH r AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v,
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
                    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
             FROM embeddings
             WHERE label IS NOT NULL AND embedding IS NOT NULL
-              AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+              AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
         ), s AS (
             SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
                    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
