@@ -38,6 +38,53 @@ def nearest(units: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, which is exact, with a greatest number from 0.5 to 1."""
+    _, exponent = np.frexp(np.abs(rows).max(axis=1))
+    return np.ldexp(rows, -exponent[:, None])
+
+
+def exact_cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine of each row pair, term by term: equal pairs of vectors get equal results.
+
+    One root of the product of both squares: parallel vectors of whole numbers get 1 exactly.
+    """
+    squares = (x * x).sum(axis=1) * (y * y).sum(axis=1)
+    return (x * y).sum(axis=1) / np.sqrt(squares)
+
+
+def best_rows(
+    x: np.ndarray, y: np.ndarray, ids: np.ndarray, starts: np.ndarray, count: np.ndarray,
+    asked: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, row id, cosine): for each row of `y` the k first of the rows that `x` stands for.
+
+    Point i of `x` has the ids[starts[i] : starts[i] + count[i]]. Whatever comes near the k-th
+    greatest product (one more: the query's own point) is compared exactly, ties and all.
+    """
+    unit_x, unit_y = (z / np.sqrt((z * z).sum(axis=1))[:, None] for z in (x, y))
+    score = unit_y @ unit_x.T
+    take = min(k + 1, score.shape[1])
+    kth = np.partition(score, score.shape[1] - take, axis=1)[:, score.shape[1] - take]
+    at, point = np.nonzero(score >= kth[:, None] - 1e-9)
+    exact = np.empty(len(at))
+    for s in range(0, len(at), 1 << 16):  # a few megabytes at a time, however many tie
+        some = slice(s, s + (1 << 16))
+        exact[some] = exact_cosine(x[point[some]], y[at[some]])
+    times = count[point]
+    query = np.repeat(at, times)
+    inside = np.arange(len(query)) - np.repeat(np.cumsum(times) - times, times)
+    row = ids[np.repeat(starts[point], times) + inside]
+    value = np.repeat(exact, times)
+    other = row != asked[query]
+    query, row, value = query[other], row[other], value[other]
+    order = np.lexsort((row, -value, query))
+    query, row, value = query[order], row[order], value[order]
+    nth = np.arange(len(query)) - np.searchsorted(query, query)
+    first = nth < k
+    return asked[query[first]], row[first], value[first]
+
+
 def balanced_partition(
     units: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 8, slack: float = 1.05
 ) -> np.ndarray:
@@ -143,7 +190,9 @@ def nearest_neighbours(
     Returns query_id, rank (from 1), vec_id, score. All rows are indexed; only the router is
     fitted on a sample of at most about `most_sampled` distinct vectors, taken by hash. Equal
     vectors are one point of the index, so a vector with very many copies costs as much as any
-    other, and of each point the k + 1 smallest ids are candidates. Ties go to the smaller id.
+    other, and of each point the k + 1 smallest ids are candidates. Ties go to the smaller id,
+    also between parallel vectors, of which no number is left out. A query whose partitions hold
+    fewer than k candidates goes on to all others.
 
     Takes no part: a row whose vector is NULL, zero, holds a NULL or a non-finite number or has
     another length than most, and a row with a NULL id. Repeated rows count once; if an id has
@@ -165,7 +214,15 @@ def nearest_neighbours(
     rows = rows.where(F.size("v") == (width.width if width else 0)).withColumn(
         "point", F.xxhash64("v")
     )
-    points = materialise(rows.select("point", "v").distinct(), "ann-points")
+    by_id = Window.partitionBy("point").orderBy("vec_id")
+    points = (
+        rows.distinct()
+        .withColumn("nth", F.row_number().over(by_id))
+        .where(F.col("nth") <= k + 1)  # of equal vectors no more can be among the k nearest
+        .groupBy("point")
+        .agg(F.any_value("v").alias("v"), F.collect_list("vec_id").alias("ids"))
+    )
+    points = materialise(points, "ann-points")
     total = points.count()
     parts = partitions or min(64, max(4, 1 << int(math.log2(max(1, total / 256)))))
     share = min(1.0, most_sampled / max(1, total))
@@ -190,32 +247,32 @@ def nearest_neighbours(
         return routed("v")
 
     base = materialise(
-        points.select("point", "v", route(1)[0].alias("part")), "ann-base"
+        points.select("point", "v", "ids", route(1)[0].alias("part")), "ann-base"
     )
     askers = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     askers = askers.groupBy("vec_id").agg(F.min("point").alias("point")).join(points, "point")
-    asked = materialise(
-        askers.select(
-            F.col("vec_id").alias("query_id"), "v", F.explode(route(router.probes)).alias("part")
-        ),
-        "ann-asked",
-    )
-    found = _search(base, asked, parts, k + 3)
-    few = Window.partitionBy("query_id").orderBy(F.desc("score"), "point")
-    best = found.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= k + 3)
-    by_id = Window.partitionBy("point").orderBy("vec_id")
-    members = (
-        rows.select("point", "vec_id").distinct()
-        .withColumn("nth", F.row_number().over(by_id))
-        .where(F.col("nth") <= k + 1)
-        .select("point", "vec_id")
+    askers = materialise(
+        askers.select(F.col("vec_id").alias("query_id"), "v", route(parts).alias("order")),
+        "ann-askers",
     )
+
+    def asked(who: DataFrame, first: int, count: int) -> DataFrame:
+        """A row per question and partition, `count` partitions from the `first` on."""
+        some = F.slice("order", first, count)
+        return materialise(who.select("query_id", "v", F.explode(some).alias("part")), "ann-asked")
+    found = materialise(_search(base, asked(askers, 1, router.probes), parts, k), "ann-found")
+    ids = points.select(F.explode("ids").alias("id")).distinct().limit(k + 1).count()
+    if router.probes < parts:
+        # Questions whose partitions hold too few candidates go on to all others.
+        enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n"))
+        enough = enough.where(F.col("n") >= min(k, ids - 1))
+        short = materialise(askers.join(enough, "query_id", "left_anti"), "ann-short")
+        if not short.isEmpty():
+            rest = asked(short, router.probes + 1, parts)
+            found = found.unionByName(_search(base, rest, parts, k))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        best.select("query_id", "point", "score")
-        .join(members, "point")
-        .where("vec_id <> query_id")
-        .groupBy("query_id", "vec_id")
+        found.groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(final))
         .where(F.col("rank") <= k)
@@ -224,7 +281,7 @@ def nearest_neighbours(
 
 
 def _search(base: DataFrame, asked: DataFrame, parts: int, k: int) -> DataFrame:
-    """(query_id, point, score): the k best points of each block that a query meets.
+    """(query_id, vec_id, score): the k best rows of each block that a query meets, not itself.
 
     The rows of a partition, and the queries sent to it, are cut into blocks of about BLOCK, and
     every pair of blocks is one group: no partition is ever in one task as a whole.
@@ -249,27 +306,25 @@ def _search(base: DataFrame, asked: DataFrame, parts: int, k: int) -> DataFrame:
     right = right.withColumn("turn", F.col("turn").cast("int"))
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "point", "score"]
+        columns = ["query_id", "vec_id", "score"]
         if a.empty or b.empty:
             return pd.DataFrame(columns=columns).astype({"score": float})
         x, y = np.stack(a["w"].to_list()).astype(float), np.stack(b["v"].to_list()).astype(float)
-        x_size, y_size = np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
-        top = nearest(y / y_size[:, None], x / x_size[:, None], k)
-        # Term by term and not by the matrix product: equal vectors then get equal scores.
-        exact = (x[top] * y[:, None, :]).sum(axis=2) / (x_size[top] * y_size[:, None])
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(b["query_id"].to_numpy(), top.shape[1]),
-                "point": a["point"].to_numpy()[top].ravel(),
-                "score": exact.ravel(),
-            }
-        )
+        x, y = scaled(x), scaled(y)
+        count = a["ids"].map(len).to_numpy()
+        ids, starts = np.concatenate(a["ids"].to_list()), np.cumsum(count) - count
+        asked = b["query_id"].to_numpy()
+        best = [
+            best_rows(x, y[at : at + 256], ids, starts, count, asked[at : at + 256], k)
+            for at in range(0, len(y), 256)
+        ]
+        return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*best)), strict=True)))
 
     keys = ["part", "block", "turn"]
     found = (
-        left.select(*keys, "point", "w")
+        left.select(*keys, "ids", "w")
         .groupBy(*keys)
         .cogroup(right.select(*keys, "query_id", "v").groupBy(*keys))
-        .applyInPandas(compare, "query_id bigint, point bigint, score double")
+        .applyInPandas(compare, "query_id bigint, vec_id bigint, score double")
     )
     return found

@@ -183,6 +183,35 @@ def test_neighbours_reach_the_recall(spark):
     assert hits >= 0.9 * total
 
 
+def test_neighbours_of_parallel_vectors_and_small_partitions(spark):
+    rows = [(0, [1.0, 1.0])] + [(i, [float(i), float(i)]) for i in range(30, 0, -1)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    out = nearest_neighbours(table, every=50, k=5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in out] == [(i, 1.0) for i in range(1, 6)]
+    # A small group far from all others: its partition has fewer than k candidates.
+    pick = np.random.default_rng(2)
+    rows = [(i + 1, (pick.normal(size=8) * 0.1 + np.eye(8)[0]).tolist()) for i in range(400)]
+    rows += [(0, (-np.eye(8)[0]).tolist()), (1000, (-np.eye(8)[0] + 0.1 * np.eye(8)[1]).tolist())]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = nearest_neighbours(table, every=1000, k=5, partitions=32).collect()
+    assert sorted((r.query_id, r["rank"]) for r in got) == [(q, n) for q in (0, 1000) for n in range(1, 6)]
+    assert {r.vec_id for r in got if r["rank"] == 1} == {0, 1000}
+
+
+def test_neighbours_take_wide_rows_and_clashing_names(spark):
+    pick = np.random.default_rng(4)
+    rows = [(i, pick.normal(size=3000).tolist(), i, 0.5, i) for i in range(60)]
+    columns = "vec_id bigint, embedding array<double>, point bigint, score double, part int"
+    got = nearest_neighbours(spark.createDataFrame(rows, columns), every=50, k=5).collect()
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for q in (0, 50):
+        cosine = x @ x[q]
+        cosine[q] = -2
+        best = [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q]
+        assert best == np.argsort(-cosine)[:5].tolist()
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [
         (0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (None, [1.0, 1.0]),
