@@ -279,12 +279,13 @@ def _concentrate(vectors: DataFrame, params: DataFrame, rules: OutlierRules) ->
         "bin", F.expr("cast(least(4095, floor(256 * ln(1 + d2))) AS int)")
     )
     y = [f"(x{i} - m{i})" for i in range(DIMS)]
-    sums = placed.groupBy("model", "bin").agg(
+    # One key of both, so that the sums are dealt by bin and not, for the window, by model alone.
+    sums = placed.groupBy(F.struct("model", "bin").alias("k")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.expr(y[i])).alias(f"s{i}") for i in range(DIMS)],
         *[F.sum(F.expr(f"{y[i]} * {y[j]}")).alias(f"q{i}{j}") for i, j in _pairs()],
     )
-    near = sums.selectExpr(
+    near = sums.select("k.*", *[c for c in sums.columns if c != "k"]).selectExpr(
         "*",
         "sum(n) OVER (PARTITION BY model ORDER BY bin) AS upto",
         "sum(n) OVER (PARTITION BY model) AS total",
@@ -337,15 +338,22 @@ def _judged(
     stats: DataFrame, names: DataFrame, params: DataFrame, lang: str, source: str, limit: float
 ) -> DataFrame:
     """`stats` with `distance` and `kept`."""
-    a, b = fresh_name(stats, "lang_"), fresh_name(stats, "source_")
-    keyed = stats.withColumn(a, F.coalesce(F.col(lang).cast("string"), F.lit("\0"))).withColumn(
-        b, F.coalesce(F.col(source).cast("string"), F.lit("\0"))
+    # The input's own columns travel in one struct: whatever they are called, none of the names
+    # used here can clash with them.
+    known = [*BASE, *MORE, "base_failed"]
+    keyed = stats.select(
+        F.struct(*stats.columns).alias("row"),
+        F.coalesce(F.col(lang).cast("string"), F.lit("\0")).alias("in_lang"),
+        F.coalesce(F.col(source).cast("string"), F.lit("\0")).alias("in_source"),
+        *known,
     )
-    models = names.withColumnsRenamed({"of_source": "model", "lang": a, "source": b})
-    models = models.select(a, b, "model").join(params, "model").drop("model")
-    far = with_distance(with_vector(keyed).join(models, [a, b], "left"), "d2")
+    models = names.withColumnsRenamed(
+        {"of_source": "model", "lang": "in_lang", "source": "in_source"}
+    )
+    models = models.select("in_lang", "in_source", "model").join(params, "model").drop("model")
+    far = with_distance(with_vector(keyed).join(models, ["in_lang", "in_source"], "left"), "d2")
     return far.select(
-        *stats.columns,
+        "row.*",
         F.sqrt("d2").alias("distance"),
         F.expr(f"NOT base_failed AND coalesce(d2 <= {limit!r}D, true)").alias("kept"),
     )
@@ -375,20 +383,16 @@ def quality_rules(
     new = {*BASE, *MORE, "base_failed", "distance", "kept"}
     kept = docs.select(*[c for c in docs.columns if c.lower() not in new])
     stats = with_statistics(kept, text)
+    if not with_text:
+        stats = materialise(stats.drop(text), "quality-statistics")
+    measured = stats.select(
+        F.col(lang).alias("lang"), F.col(source).alias("source"), *BASE, *MORE, "base_failed"
+    )
     if with_text:
-        measured = materialise(
-            stats.select(
-                F.col(lang).alias("lang"), F.col(source).alias("source"), *BASE, *MORE, "base_failed"
-            ),
-            "quality-statistics",
-        )
-        in_lang, in_source = "lang", "source"
-    else:
-        stats = measured = materialise(stats.drop(text), "quality-statistics")
-        in_lang, in_source = lang, source
+        measured = materialise(measured, "quality-statistics")
     passed = measured.where("NOT base_failed")
     vectors = materialise(
-        with_group(with_vector(passed), in_lang, in_source).select(
+        with_group(with_vector(passed), "lang", "source").select(
             "lang", "source", "of_lang", "of_source", *[f"x{i}" for i in range(DIMS)]
         ),
         "quality-vectors",

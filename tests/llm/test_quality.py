@@ -20,3 +20,17 @@ def test_a_small_source_is_judged_by_its_own_texts(spark):
     kept = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(table, DOCS)).collect()}
     assert all(kept[i] for i in range(720))
     assert not any(kept[i] for i in range(720, 740))
+
+
+def test_names_of_the_estimates_as_extra_columns(spark):
+    pick = np.random.default_rng(3)
+    words = ["".join(pick.choice(list("abcdefgh"), 5)) for _ in range(300)]
+    rows = [(i, " ".join(pick.choice(words, 40 + i % 30)), "en", f"s{i % 2}", i) for i in range(80)]
+    docs = spark.createDataFrame(rows, DOCS)
+    names = ["x0", "m0", "l00", "z0", "d2", "model", "row", "in_lang", "bin", "k", "n"]
+    wide = docs.selectExpr("*", *[f"doc_id AS {n}" for n in names])
+    for with_text in (True, False):
+        out = quality_rules(wide, with_text=with_text).collect()
+        want = {r.doc_id: (r.kept, r.distance) for r in quality_rules(docs).collect()}
+        assert {r.doc_id: (r.kept, r.distance) for r in out} == want
+        assert all(r[n] == r.doc_id for r in out for n in names)
