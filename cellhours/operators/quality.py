@@ -24,11 +24,17 @@ def _row_checks(features: DataFrame, rules: Rules) -> list[tuple[str, Column]]:
     return checks
 
 
-def validate_features(features: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def validate_features(
+    features: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    other_rows: int = 0,
+    other_positives: float = 0.0,
+) -> DataFrame:
     """Every check with its number of violations, in one pass over the table.
 
     Rows are first reduced per key, which finds duplicates and counts the row checks in the same
-    exchange. A positive rate outside the band, or of an empty table, is one violation.
+    exchange. A positive rate outside the band, or of an empty table, is one violation. Rows that
+    were checked before, at other keys, take part in the rate by their counts.
     """
     checks = _row_checks(features, rules)
     per_key = features.groupBy(*KEYS).agg(
@@ -39,7 +45,10 @@ def validate_features(features: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
     )
     totals = per_key.agg(
         F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("_duplicates"),
-        (F.sum("_positive") / F.sum("_labelled")).alias("_rate"),
+        F.try_divide(
+            F.coalesce(F.sum("_positive"), F.lit(0.0)) + F.lit(float(other_positives)),
+            F.coalesce(F.sum("_labelled"), F.lit(0)) + F.lit(other_rows),
+        ).alias("_rate"),
         *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(checks))],
     )
     rate = F.col("_rate")
@@ -75,7 +84,14 @@ def validate_features(features: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
     return totals.select(F.inline(F.array(*lines)))
 
 
-def problems(features: DataFrame, rules: Rules = DEFAULT_RULES) -> list[str]:
+def problems(
+    features: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    other_rows: int = 0,
+    other_positives: float = 0.0,
+) -> list[str]:
     """Messages of the violated checks; empty means publishable. At most one per check."""
-    report = validate_features(features, rules).filter(F.col("violations") > 0)
+    report = validate_features(features, rules, other_rows, other_positives).filter(
+        F.col("violations") > 0
+    )
     return [row.problem for row in report.select("problem").collect()]

@@ -172,7 +172,29 @@ SELECT {FULL_OBS}, (SELECT count(*) FROM obs WHERE slot_start >= {STORED_BEFORE}
        0 AS replayed
 FROM obs""",
 )
+_add(
+    "append_concurrent",
+    "obs",
+    sql=f"SELECT {FULL_OBS}, (SELECT count(*) FROM obs) AS added FROM obs",
+)
+_BROKEN = """
+  SELECT 'run-' || eh AS run_id, eh, site, 'p' || site AS sample_point, count(*) * 12 AS broken
+  FROM ev WHERE event_id % 23 = 0 GROUP BY eh, site"""
+_add(
+    "broken_answers",
+    "ev",
+    also={"unread": _BROKEN},
+    sql="SELECT run_id, sample_point, broken FROM unread",
+)
 _add("run_state", "runs", sql="SELECT * FROM runs")
+_add(
+    "publish_refused",
+    "features",
+    sql="""
+SELECT 'features-20240201T000000Z' AS feature_run_id, count(*) AS rows, false AS published,
+       1 AS problems, 1 AS audited
+FROM features""",
+)
 _add(
     "feature_publish",
     "features",
@@ -301,7 +323,8 @@ _add(
 SELECT c.h3_cell, c.slot_start, c.is_degraded, f.is_degraded AS target_is_degraded
 FROM cells c LEFT JOIN cells f ON f.h3_cell = c.h3_cell AND f.h = c.h + 6""",
 )
-_add("build_features", "features", sql=f"SELECT {FEATURE_COLUMNS} FROM features")
+for _name in ("build_features", "build_incremental", "export_features"):
+    _add(_name, "features", sql=f"SELECT {FEATURE_COLUMNS} FROM features")
 _add("score_rows", "scorable", sql=f"SELECT {SCORE_COLUMNS} FROM scorable")
 _add(
     "model_matrix",
@@ -491,6 +514,30 @@ FROM (SELECT 'run-' || eh AS run_id, make_timestamp(eh * 3600 * 1000000) AS slot
              'no answer from p' || (min(seq) FILTER (WHERE reached AND NOT ok)) AS error
       FROM polled GROUP BY eh)""",
 )
+_add(
+    "sweep_status_broken",
+    "ev",
+    also={
+        "unread": _BROKEN,
+        "polled": """
+  SELECT h.eh, p.seq < CASE h.eh % 41 WHEN 3 THEN 7 WHEN 4 THEN 0 ELSE 12 END AS reached, p.seq,
+         e.site IS NOT NULL AND h.eh % 37 NOT IN (5, 6) AS answered,
+         reached AND answered AND u.broken IS NULL AS ok,
+         CASE WHEN answered THEN 'answer of p' || p.seq || ' could not be read'
+              ELSE 'no answer from p' || p.seq END AS note
+  FROM (SELECT DISTINCT eh FROM ev) h CROSS JOIN range(12) AS p(seq)
+  LEFT JOIN (SELECT DISTINCT eh, site FROM ev) e ON e.eh = h.eh AND e.site = p.seq
+  LEFT JOIN unread u ON u.eh = h.eh AND u.site = p.seq"""
+    },
+    sql="""
+SELECT run_id, slot_start, points_attempted, points_succeeded, error,
+       CASE WHEN points_succeeded = 0 THEN 'failed'
+            WHEN points_succeeded < points_attempted THEN 'partial' ELSE 'ok' END AS status
+FROM (SELECT 'run-' || eh AS run_id, make_timestamp(eh * 3600 * 1000000) AS slot_start,
+             count(*) AS points_attempted, count(*) FILTER (WHERE ok) AS points_succeeded,
+             arg_min(note, seq) FILTER (WHERE reached AND NOT ok) AS error
+      FROM polled GROUP BY eh)""",
+)
 _add(
     "close_stale_runs",
     "runs",
@@ -784,7 +831,8 @@ FROM features""",
 
 # --- streaming --------------------------------------------------------------------------------
 
-_add("stream_capture", "fan", also=_FEED, sql=f"SELECT {FULL_OBS} FROM feed_reports")
+for _name in ("stream_capture", "stream_capture_late"):
+    _add(_name, "fan", also=_FEED, sql=f"SELECT {FULL_OBS} FROM feed_reports")
 _add("stream_health", "runs", also={"edges": EDGES}, sql=_EDGE_ROWS)
 _add(
     "stream_cell_hourly",

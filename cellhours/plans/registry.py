@@ -7,13 +7,16 @@ timestamps come back without a zone (UTC), so results compare with other engines
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, datetime
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from datetime import UTC, datetime, timedelta
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellhours.config import DEFAULT_RULES
 from cellhours.functions.altitude import altitude_ft
 from cellhours.functions.timeslots import plus_minutes, utc_date
 from cellhours.operators import (
@@ -27,7 +30,8 @@ from cellhours.operators import (
     quality,
 )
 from cellhours.plans.build import run_feature_build
-from cellhours.schemas import CELL, CELL_VALUES, KEYS, LABEL, SLOT, TARGET
+from cellhours.plans.incremental import run_incremental_build
+from cellhours.schemas import CELL, CELL_VALUES, KEYS, LABEL, LINEAGE, SLOT, TARGET
 from cellhours.session import apply_settings
 from cellhours.sources import events_view, feature_store, legacy, points, runs, snapshots
 from cellhours.sources import observations as store
@@ -125,6 +129,22 @@ def snapshot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def broken_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers cut off on their way, per sweep and disc."""
+    cut = events_view.snapshots(spark, sf_dir, cut_every=23)
+    return snapshots.broken_answers(snapshots.parse_bodies(cut))
+
+
+@query
+def sweep_status_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of the sweeps when polls with a broken answer count as failed."""
+    cut = events_view.snapshots(spark, sf_dir, cut_every=23)
+    unread = snapshots.broken_answers(snapshots.parse_bodies(cut))
+    polls = runs.with_broken_answers(events_view.polls(spark, sf_dir), unread)
+    return runs.sweep_status(polls, runs.run_state(events_view.run_events(spark, sf_dir)))
+
+
 def _legacy_folder(spark: SparkSession, sf_dir: str) -> str:
     """The fixture's cruise reports in the layout of the earlier history."""
     root = run_folder(spark, "legacy")
@@ -211,6 +231,22 @@ def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumns({"added": F.lit(added), "replayed": F.lit(replayed)})
 
 
+@query
+def append_concurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers at once, whose batches overlap; the table after that, and who added what."""
+    table = run_folder(spark, "observations")
+    reports = _obs(spark, sf_dir)
+    batches = [
+        reports.filter(F.col(SLOT) < F.lit(STORED_BEFORE)),
+        reports.filter(F.col(SLOT) >= F.lit(READ_FROM)),
+        reports,
+    ]
+    with ThreadPoolExecutor(len(batches)) as writers:
+        added = sum(writers.map(lambda batch: store.append_if_absent(batch, table), batches))
+    stored = store.stored_observations(spark, table).drop(store.DATE)
+    return stored.withColumn("added", F.lit(added))
+
+
 @query
 def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _runs(spark, sf_dir)
@@ -231,6 +267,50 @@ def feature_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_store.feature_runs(spark, _published(spark, sf_dir))
 
 
+@query
+def build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table after three incremental builds, the last over reports that came late."""
+    table, root = run_folder(spark, "observations"), run_folder(spark, "store")
+    reports = _obs(spark, sf_dir)
+    late = (F.col(SLOT) < F.lit(READ_FROM)) & F.col("hex").endswith("_7")
+    batches = [
+        reports.filter((F.col(SLOT) < F.lit(READ_TO)) & ~late),
+        reports.filter(F.col(SLOT) >= F.lit(READ_TO)),
+        reports.filter(late),
+    ]
+    for hours, batch in enumerate(batches):
+        store.append_if_absent(batch, table)
+        now = BUILT_AT + timedelta(hours=hours)
+        result = run_incremental_build(spark, table, root, now)
+    if not result.published:
+        raise RuntimeError(f"feature build refused: {result.problems}")
+    return feature_store.read_features(spark, root).drop(*LINEAGE)
+
+
+@query
+def publish_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit after a good build and one that the gate refuses; readers keep the good one."""
+    root = _published(spark, sf_dir)
+    strict = replace(DEFAULT_RULES, positive_rate_low=0.9, positive_rate_high=1.0)
+    again = BUILT_AT + timedelta(hours=1)
+    refused = run_feature_build(_obs(spark, sf_dir), root, again, run_id="refused", rules=strict)
+    read = feature_store.read_features(spark, root)
+    return read.groupBy("feature_run_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(refused.published).alias("published"),
+        F.lit(len(refused.problems)).alias("problems"),
+        F.lit(feature_store.feature_runs(spark, root).count()).alias("audited"),
+    )
+
+
+@query
+def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain Parquet copy of the feature table, read back."""
+    path = run_folder(spark, "export")
+    feature_store.export_features(_features(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 @query
 def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table as a training job reads it, lineage included."""
@@ -599,7 +679,7 @@ def stream_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, table, state = (
         run_folder(spark, name) for name in ("landing", "observations", "capture-state")
     )
-    answers = snapshots.parse_bodies(events_view.snapshots(spark, sf_dir))
+    answers = snapshots.parse_bodies(events_view.snapshots(spark, sf_dir)).drop("broken")
     for _ in range(2):
         answers.write.mode("append").json(landing, timestampFormat=LANDED_TIME)
         stream = capture.snapshot_stream(spark, landing)
@@ -607,6 +687,21 @@ def stream_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.stored_observations(spark, table).drop(store.DATE)
 
 
+@query
+def stream_capture_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of the later half landed and captured first; the older ones come days late."""
+    landing, table, state = (
+        run_folder(spark, name) for name in ("landing", "observations", "capture-state")
+    )
+    answers = snapshots.parse_bodies(events_view.snapshots(spark, sf_dir)).drop("broken")
+    in_time = F.col("observed_at") >= F.lit(STORED_BEFORE)
+    for batch in (answers.filter(in_time), answers.filter(~in_time)):
+        batch.write.mode("append").json(landing, timestampFormat=LANDED_TIME)
+        stream = capture.snapshot_stream(spark, landing)
+        capture.start_capture(stream, table, state).awaitTermination()
+    return store.stored_observations(spark, table).drop(store.DATE)
+
+
 @query
 def stream_cell_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell hours of a stored report table read as a stream, up to the last closed hour."""

@@ -36,11 +36,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "user_id", "event_type", "ts"
     )
-    # Each event fans out twelvefold. A file with fewer splits than cores would do that in a
-    # few tasks; larger inputs have enough splits and are left where they are.
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
+    # Each event fans out twelvefold: the narrow rows are dealt to all tasks before that.
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events = events.repartition(max(shuffled, spark.sparkContext.defaultParallelism), "event_id")
     return events.select(
         "event_id", "user_id", "event_type", instant_from_utc("ts").alias("event_at")
     ).selectExpr("*", "event_id % 12 AS site", f"{hour_index_sql('event_at')} AS event_hour")
@@ -180,9 +178,11 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshots(spark: SparkSession, sf_dir: str, cut_every: int | None = None) -> DataFrame:
     """Feed answers as JSON text, one aircraft per answer, with every altitude spelling.
 
+    The answers of each `cut_every`-th event are cut off before their end.
+
     Some aircraft lack a position or a NIC. The altitude is a number, "ground", null, absent,
     numeric text, true or a literal 0.
     """
@@ -209,6 +209,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         + ", ".join(texts)
         + ", '}]}')"
     )
+    if cut_every is not None:
+        body = f"if(event_id % {cut_every} = 0, rtrim('}}]', {body}), {body})"
     return _fanned(spark, sf_dir).selectExpr(
         "event_at AS observed_at",
         "concat('p', site) AS sample_point",

@@ -7,18 +7,26 @@ that fails leaves the one before in place.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import utc_date
-from cellhours.schemas import CELL, FEATURE_RUNS, SLOT, TARGET
+from cellhours.schemas import CELL, CELL_HOURS, FEATURE_RUNS, SLOT, TARGET
+from cellhours.sources.commits import children, remove
 from cellhours.sources.scratch import path_missing
 
-MONTH = "slot_month"
+MONTH, DAY = "slot_month", "slot_date"
+MONTHS, DAYS = "features", "cells"  # kinds of parts in a manifest
+MANIFEST = (
+    "kind string, part string, folder string, rows bigint, positives double, "
+    "first_slot timestamp, last_slot timestamp, raw_version bigint, feature_version string"
+)
 
 
 def _month(ts: str | Column) -> Column:
@@ -134,7 +142,11 @@ def read_features(
     run_id = newest_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"no published feature build under {root}")
-    rows = spark.read.parquet(build_path(root, run_id))
+    months = {m.part: m.folder for m in manifest(spark, root, run_id) if m.kind == MONTHS}
+    if not months:  # a build that has all its months itself
+        rows = spark.read.parquet(build_path(root, run_id))
+    else:
+        rows = read_months(spark, root, months)
     if start is not None:
         rows = rows.filter(F.col(SLOT) >= F.lit(start)).filter(
             F.col(MONTH) >= _month(F.lit(start))
@@ -144,6 +156,71 @@ def read_features(
     return rows.drop(MONTH)
 
 
+def _parts(
+    spark: SparkSession, place: Callable[[str], str], column: str, folders: Mapping[str, str]
+) -> DataFrame:
+    """Partition folders {value: run id} that lie in several runs, as one table."""
+    frames = []
+    for run_id in sorted(set(folders.values())):
+        own = [f"{place(run_id)}/{column}={v}" for v, r in sorted(folders.items()) if r == run_id]
+        frames.append(spark.read.option("basePath", place(run_id)).parquet(*own))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def read_months(spark: SparkSession, root: str, months: Mapping[str, str]) -> DataFrame:
+    return _parts(spark, partial(build_path, root), MONTH, months)
+
+
+def cells_path(root: str, run_id: str) -> str:
+    return f"{root}/cell_hours/{run_id}"
+
+
+def read_cell_days(spark: SparkSession, root: str, days: Mapping[str, str]) -> DataFrame:
+    """Stored cell hours of the dates {date: run id}."""
+    if not days:
+        return spark.createDataFrame([], CELL_HOURS)
+    return _parts(spark, partial(cells_path, root), DAY, days).drop(DAY)
+
+
+def manifest(spark: SparkSession, root: str, run_id: str) -> list[Row]:
+    """What an incremental build consists of: a row per date of cell hours and month of features.
+
+    Empty for a build that was made in one go.
+    """
+    path = f"{root}/feature_manifests/{run_id}"
+    if not children(spark, path):
+        return []
+    return spark.read.schema(MANIFEST).parquet(path).orderBy("kind", "part").collect()
+
+
+def write_manifest(spark: SparkSession, root: str, run_id: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists").parquet(
+        f"{root}/feature_manifests/{run_id}"
+    )
+
+
+def drop_unreferenced(spark: SparkSession, root: str, keep: int = 24) -> list[str]:
+    """Delete the folders that none of the newest `keep` published builds needs; their paths.
+
+    Not for the time in which a build runs: what it has staged is not published yet.
+    """
+    published = feature_runs(spark, root).filter(F.col("status") == "succeeded")
+    newest = published.orderBy(F.desc("built_at"), F.desc("run_id")).limit(keep).collect()
+    needed = {MONTHS: {r.run_id for r in newest}, DAYS: set(), "manifest": {r.run_id for r in newest}}
+    for run in newest:
+        for row in manifest(spark, root, run.run_id):
+            needed[row.kind].add(row.folder)
+    gone = []
+    for kind, folder in (
+        (MONTHS, "cell_hourly_features"), (DAYS, "cell_hours"), ("manifest", "feature_manifests")
+    ):
+        for run_id in children(spark, f"{root}/{folder}"):
+            if run_id not in needed[kind]:
+                remove(spark, f"{root}/{folder}/{run_id}")
+                gone.append(f"{root}/{folder}/{run_id}")
+    return gone
+
+
 def export_features(features: DataFrame, path: str) -> None:
     """Plain Parquet copy of a feature table."""
     features.write.mode("overwrite").parquet(path)

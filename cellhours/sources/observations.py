@@ -1,4 +1,4 @@
-"""The raw report table: append-only Parquet, partitioned by slot date."""
+"""The raw report table: commits of append-only Parquet, partitioned by slot date."""
 
 from __future__ import annotations
 
@@ -7,31 +7,54 @@ from operator import and_
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import utc_date
 from cellhours.operators.cells import cell_hourly
 from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS
-from cellhours.sources.scratch import path_missing
+from cellhours.sources.commits import (
+    COMMIT,
+    Entry,
+    children,
+    log_entries,
+    publish,
+    read_commits,
+    remove,
+    stage,
+)
 
 DATE = "slot_date"
 READ_COLUMNS = [f.name for f in OBSERVATIONS.fields if f.name != "ingest_run_id"]
 
 
-def stored_observations(spark: SparkSession, path: str) -> DataFrame:
-    """The whole table; an empty one before the first write."""
-    schema = f"{OBSERVATIONS.simpleString()[7:-1]},{DATE}:date"
-    try:
-        return spark.read.schema(schema.replace(":", " ")).parquet(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return spark.createDataFrame([], OBSERVATIONS).withColumn(
-            DATE, F.lit(None).cast("date")
-        )
+def stored_observations(
+    spark: SparkSession, path: str, entries: list[Entry] | None = None
+) -> DataFrame:
+    """The whole table, or the commits of some entries; an empty one before the first write.
+
+    Date folders that lie in `path` itself were written before there was a log; they belong to
+    the table as well.
+    """
+    rows = read_commits(
+        spark, path, log_entries(spark, path) if entries is None else entries, OBSERVATIONS,
+        DATE, "date",
+    )
+    if entries is None and any(n.startswith(f"{DATE}=") for n in children(spark, path)):
+        schema = StructType([*OBSERVATIONS.fields]).add(DATE, "date")
+        old = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{DATE}=*")
+        return rows.unionByName(old)
+    return rows
+
+
+def newest_day(spark: SparkSession, path: str) -> DataFrame:
+    """The reports of the last stored date, which the log and the folder names tell."""
+    dates = {p for e in log_entries(spark, path) for p in e.parts}
+    dates |= {n.split("=", 1)[1] for n in children(spark, path) if n.startswith(f"{DATE}=")}
+    last = max((d for d in dates if d[:1].isdigit()), default=None)
+    return stored_observations(spark, path).filter(F.col(DATE) == F.lit(last).cast("date"))
 
 
 def _bound(value: datetime | Column) -> Column:
@@ -112,20 +135,38 @@ def absent_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
     return fresh.join(keys, same, "left_anti")
 
 
-def append_if_absent(batch: DataFrame, path: str) -> int:
+def append_if_absent(batch: DataFrame, path: str, attempts: int = 20) -> int:
     """Append the rows whose key is new; returns how many. Replaying a batch adds nothing.
 
-    A NULL in a key equals a NULL. For a single writer: two at a time could both add a key.
+    A NULL in a key equals a NULL. Any number of writers may append at a time: a commit that
+    another one came before is checked against that one's rows, if both hold a date, and tried
+    again behind it.
     """
     spark = batch.sparkSession
     columns = [f.name for f in OBSERVATIONS.fields]
+    known = log_entries(spark, path)
+    version = known[-1].version if known else 0
     fresh = absent_rows(batch.select(*columns), stored_observations(spark, path))
-    dated = fresh.withColumn(DATE, utc_date("slot_start"))
-    # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
-    # count is taken from the writing stage, whose tasks count once even after a lost executor.
-    written = Observation()
-    balanced = dated.hint("rebalance", F.col(DATE)).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
-    balanced.write.mode("append").partitionBy(DATE).parquet(path)
-    return int(written.get["rows"])
+    for _ in range(attempts):
+        # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
+        # count is taken from the writing stage, whose tasks count once even after a lost executor.
+        dated = fresh.withColumn(DATE, utc_date("slot_start"))
+        written = Observation()
+        balanced = dated.hint("rebalance", F.col(DATE)).observe(
+            written, F.count(F.lit(1)).alias("rows")
+        )
+        commit_id, dates = stage(balanced, path, DATE)
+        rows = int(written.get["rows"])
+        if not rows:
+            remove(spark, f"{path}/{COMMIT}={commit_id}")
+            return 0
+        newer: list[Entry] = []
+        while not any(set(e.parts) & set(dates) for e in newer):
+            entry = Entry(version + 1, commit_id, rows, dates)
+            if publish(spark, path, entry):
+                return rows
+            newer = log_entries(spark, path, version)
+            version = newer[-1].version
+        mine = stored_observations(spark, path, [entry]).select(*columns)
+        fresh = absent_rows(mine, stored_observations(spark, path, newer))
+    raise RuntimeError(f"other writers came first {attempts} times")

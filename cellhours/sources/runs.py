@@ -37,6 +37,19 @@ def run_state(run_log: DataFrame) -> DataFrame:
     )
 
 
+def with_broken_answers(polls: DataFrame, broken: DataFrame) -> DataFrame:
+    """Polls, of which those fail whose answer could not be read (see `broken_answers`)."""
+    unread = broken.select("run_id", "sample_point", F.lit(True).alias("_unread"))
+    bad = F.coalesce("_unread", F.lit(False))
+    note = F.concat(F.lit("answer of "), "sample_point", F.lit(" could not be read"))
+    return (
+        polls.join(unread, ["run_id", "sample_point"], "left")
+        .withColumn("error", F.when(bad, F.coalesce("error", note)).otherwise(F.col("error")))
+        .withColumn("ok", F.col("ok") & ~bad)
+        .select(*polls.columns)
+    )
+
+
 def sweep_status(
     polls: DataFrame, planned: DataFrame, persist_error: str | None = None
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.altitude import altitude_ft
@@ -11,6 +12,8 @@ from cellhours.functions.timeslots import slot_floor
 from cellhours.operators.cells import aggregate_cells, assign_cells, cruise_filter
 from cellhours.schemas import FEED_BODY, OBSERVATIONS, SNAPSHOT
 
+_CORRUPT = "_unread"
+
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Landed polls: JSON lines, one envelope with the feed's answer per line."""
@@ -18,8 +21,30 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_bodies(envelopes: DataFrame) -> DataFrame:
-    """For envelopes that carry the answer as text."""
-    return envelopes.withColumn("body", F.from_json("body", FEED_BODY))
+    """For envelopes that carry the answer as text: `body` parsed, and whether it is `broken`.
+
+    A text that is no JSON, or of which a value has the wrong type, is a broken answer as a whole:
+    its `body` is NULL, so none of its aircraft is taken. Envelopes without an answer are not
+    broken, their poll failed before.
+    """
+    schema = StructType([*FEED_BODY.fields]).add(_CORRUPT, "string")
+    parsed = F.from_json("body", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    read = envelopes.withColumn("_text", F.col("body")).withColumn("body", parsed)
+    bad = F.col("body").isNull() | F.col(f"body.{_CORRUPT}").isNotNull()
+    return (
+        read.withColumn("broken", F.col("_text").isNotNull() & bad)
+        .withColumn("body", F.when(~F.col("broken"), F.col("body")))
+        .drop("_text")
+    )
+
+
+def broken_answers(parsed: DataFrame) -> DataFrame:
+    """Answers that could not be read, per sweep and disc: run_id, sample_point, broken."""
+    return (
+        parsed.filter("broken")
+        .groupBy(F.col("ingest_run_id").alias("run_id"), "sample_point")
+        .agg(F.count(F.lit(1)).alias("broken"))
+    )
 
 
 def flatten_snapshots(
@@ -45,6 +70,7 @@ def flatten_snapshots(
     named = usable.withColumns(
         {
             "slot_start": slot_floor("observed_at", rules),
+            "hex": F.coalesce("hex", F.lit("")),  # an aircraft without an address still counts
             "altitude_ft": altitude_ft(F.col("alt_baro")),
             "aircraft_type": F.col("t"),
         }
