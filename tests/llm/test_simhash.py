@@ -6,7 +6,13 @@ import xxhash
 
 from cellhours.llm.common import connected_components
 from cellhours.llm.queries import op5_simhash
-from cellhours.llm.simhash import fingerprint, link_fingerprints, simhash_components, variants
+from cellhours.llm.simhash import (
+    block_forest,
+    fingerprint,
+    link_fingerprints,
+    simhash_components,
+    variants,
+)
 from tests.llm.helpers import DOCS, HAVE_TABLES, SF, collect, documents
 
 
@@ -69,6 +75,47 @@ def test_links_of_dense_and_sparse_groups(spark, distance):
     assert all(len(g) == 1 for g in groups.values())
 
 
+def loose_group(pick, size, low=3, high=4):
+    """Distinct values a few bits off one centre, most of them too far from each other."""
+    centre, out = pick.getrandbits(64), set()
+    while len(out) < size:
+        value = centre
+        for bit in pick.sample(range(64), pick.randint(low, high)):
+            value ^= 1 << bit
+        out.add(value)
+    return sorted(out)
+
+
+def check_components(found, marks, distance):
+    root = {r.node: r.root for r in found.collect()}
+    label = plain_components(marks, distance)
+    groups = {}
+    for i, m in enumerate(marks):
+        value = m - (1 << 64) if m >> 63 else m
+        groups.setdefault(root.get(value, value), set()).add(label[i])
+    assert len(groups) == len(set(label))
+    assert all(len(g) == 1 for g in groups.values())
+
+
+@pytest.mark.parametrize("most_outer", [0, 32_768])
+def test_links_of_a_loose_group(spark, most_outer):
+    pick = random.Random(most_outer)
+    marks = sorted({*loose_group(pick, 700), *loose_group(pick, 200, 5, 6)})
+    signed = [(m - (1 << 64) if m >> 63 else m,) for m in marks]
+    found = link_fingerprints(spark.createDataFrame(signed, "fp bigint"), 4, most_outer)
+    check_components(found, marks, 4)
+
+
+def test_links_kept_of_a_bucket_do_not_grow_with_its_pairs():
+    pick = random.Random(6)
+    for size in (500, 1000, 2000):
+        marks = np.array(loose_group(pick, size), np.uint64).view(np.int64)
+        comp = np.arange(size)
+        links = block_forest(marks, comp, np.full(size, -1), 4)
+        label = plain_components(marks.view(np.uint64), 4)
+        assert len(links) == size - len(set(label.tolist()))
+
+
 def test_variants_share_a_key_within_the_distance():
     rules = variants(4)
     assert len(rules) == 64
