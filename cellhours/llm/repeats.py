@@ -213,6 +213,19 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("row_id", "text_key", "body").mapInArrow(batches, schema)
 
 
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows with equal row_id and text_key once; their bodies are only shuffled if there are any."""
+    keys = ["row_id", "text_key"]
+    again = materialise(
+        docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys),
+        "repeats-equal-rows",
+    )
+    if again.isEmpty():
+        return docs
+    one = docs.join(again, keys, "left_semi").groupBy(*keys).agg(F.any_value("body").alias("body"))
+    return docs.join(again, keys, "left_anti").unionByName(one)
+
+
 def _cut_contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes around the wanted anchors: bucket, ctx, copies, left, right."""
     places = wanted.groupBy("row_id", "text_key").agg(
@@ -410,9 +423,12 @@ def remove_repeats(
         distinct.select("gram", "around", "copies", "at.*"), "repeats-distinct"
     )
     kinds = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
-    split = distinct.join(kinds, "gram")
+    kinds = materialise(kinds, "repeats-kinds")
+    split = materialise(distinct.join(kinds, "gram"), "repeats-kinded")
     wanted = split.where("kinds > 1").drop("kinds")
-    contexts = materialise(_cut_contexts(long_ones, wanted, length), "repeats-contexts")
+    contexts = materialise(
+        _cut_contexts(_one_of_each(long_ones), wanted, length), "repeats-contexts"
+    )
     extents = repeated_extents(contexts, length, most).select(
         F.col("bucket").alias("gram"), F.col("ctx").alias("around"), "back", "ahead"
     )
@@ -422,17 +438,15 @@ def remove_repeats(
     )
     spans = (
         places.join(extents.unionAll(single), ["gram", "around"])
-        .groupBy("row_id", "text_key")
-        .agg(
-            F.array_distinct(
-                F.collect_list(
-                    F.struct(
-                        (F.col("place") - F.col("back")).cast("int").alias("start"),
-                        (F.col("place") + F.col("ahead")).cast("int").alias("end"),
-                    )
-                )
-            ).alias("spans")
+        .select(
+            "row_id",
+            "text_key",
+            (F.col("place") - F.col("back")).cast("int").alias("start"),
+            (F.col("place") + F.col("ahead")).cast("int").alias("end"),
         )
+        .distinct()  # rows that repeat with their id bring each span once
+        .groupBy("row_id", "text_key")
+        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
     joined = bodies.select(*others, row_id, key, body).join(
         spans.select(F.col("row_id").alias(row_id), F.col("text_key").alias(key), F.col("spans").alias(found)),
