@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import starmap
 
@@ -164,18 +164,23 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 
 
 def pieces(
-    docs: DataFrame, doc_id: str, text: str, file: str, end_id: int, window: int, with_ids: bool
+    docs: DataFrame, doc_id: str, text: str, file: str, end_id: int, window: int, with_ids: bool,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Ids of each text and `end_id`, cut into full windows and a rest; a row per piece.
 
-    Columns: doc_id, start, length, doc_tokens, ids_crc32 and, if asked for, ids (binary,
-    little-endian unsigned 32 bit).
+    Columns: doc_id, start, length, doc_tokens, ids_crc32; ids (binary, little-endian unsigned 32
+    bit) if asked for; and the columns of `order`, as order0 and so on.
     """
     closing = np.asarray([end_id], "<u4").tobytes()
     new = {"start": LongType(), "length": LongType(), "doc_tokens": LongType()}
     new |= {"ids_crc32": LongType()} | ({"ids": BinaryType()} if with_ids else {})
-    kind = docs.schema[doc_id].dataType
-    schema = StructType([StructField("doc_id", kind), *starmap(StructField, new.items())])
+    keys = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        *[F.col(c).alias(f"order{i}") for i, c in enumerate(order)],
+        F.col(text).alias("text"),
+    )
+    schema = StructType([*keys.drop("text").schema.fields, *starmap(StructField, new.items())])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(file)
@@ -183,31 +188,36 @@ def pieces(
             for first in range(0, whole.num_rows, 250):
                 part = whole.slice(first, 250)
                 row_of, rows = [], []
-                texts = [t or "" for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.columns[-1].to_pylist()]
                 for row, ids in enumerate(encoder.encode(texts)):
                     ids += closing
                     for at in range(0, len(ids), 4 * window):
                         cut = ids[at : at + 4 * window]
                         row_of.append(row)
                         rows.append((at // 4, len(cut) // 4, len(ids) // 4, zlib.crc32(cut), cut))
-                keys = part.column(0).take(pa.array(row_of, pa.int64()))
+                taken = pa.array(row_of, pa.int64())
                 kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
-                columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([keys, *columns], ["doc_id", *new])
+                columns = [c.take(taken) for c in part.columns[:-1]]
+                columns += [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(batches, schema)
+    return keys.mapInArrow(batches, schema)
 
 
-def pack(parts: DataFrame, window: int, block_pieces: int = 100_000) -> DataFrame:
+def pack(
+    parts: DataFrame, window: int, block_pieces: int = 100_000, order: Sequence[str] = ()
+) -> DataFrame:
     """Add `sequence_id` and `offset` to rows with a `length` of at most `window`.
 
-    The rows are dealt evenly (not by key, so nothing can be hot) into blocks of about
-    `block_pieces` pieces, a bound on the memory of a task; each block is packed by itself. Its
-    windows are numbered from block number * 2**32, and at most one window of a block and length
-    class stays half empty, so the padding does not grow with the number of blocks.
+    The rows are dealt into blocks of about `block_pieces` pieces, a bound on the memory of a task;
+    each block is packed by itself. Its windows are numbered from block number * 2**32, and at most
+    one window of a block and length class stays half empty. Without `order` rows are dealt evenly,
+    not by key, so nothing can be hot. With it a block is a stretch of consecutive rows and the
+    blocks follow each other, so what stands together in the order is packed together.
     """
     blocks = max(1, math.ceil(parts.count() / block_pieces))
     columns = parts.columns
+    dealt = parts.repartitionByRange(blocks, *order) if order else parts.repartition(blocks)
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = pd.concat([*frames, pd.DataFrame(columns=columns)], ignore_index=True)
@@ -218,7 +228,7 @@ def pack(parts: DataFrame, window: int, block_pieces: int = 100_000) -> DataFram
         yield block.assign(sequence_id=base + place, offset=offset)
 
     schema = with_fields(parts, columns, sequence_id=LongType(), offset=LongType())
-    return parts.repartition(blocks).mapInPandas(batches, schema)
+    return dealt.mapInPandas(batches, schema)
 
 
 def pack_documents(
@@ -229,6 +239,8 @@ def pack_documents(
     end_id: int = 1,
     window: int = 2048,
     with_ids: bool = False,
+    order: Sequence[str] = (),
+    stretch_pieces: int = 8192,
 ) -> DataFrame:
     """Pack all texts of `docs`: one row per piece: doc_id, start, length, doc_tokens, ids_crc32,
     sequence_id, offset, and with `with_ids` the ids themselves (binary, little-endian).
@@ -236,6 +248,14 @@ def pack_documents(
     A text longer than the window is cut into full windows first; the rests and the short texts
     are packed best fit decreasing. A NULL or empty text is its `end_id` alone. Repeated rows and
     rows with a NULL id are packed like any other; other columns are not read.
+
+    `order` names columns whose order (a mixing schedule, say) the sequences have to follow: each
+    stretch of about `stretch_pieces` pieces in that order is packed by itself, and its sequences
+    have greater ids than those of the stretches before it.
     """
-    cut = pieces(docs, doc_id, text, file, end_id, window, with_ids)
-    return pack(materialise(cut, "packing-pieces"), window)
+    cut = pieces(docs, doc_id, text, file, end_id, window, with_ids, order)
+    cut = materialise(cut, "packing-pieces")
+    if not order:
+        return pack(cut, window)
+    keys = [f"order{i}" for i in range(len(order))]
+    return pack(cut, window, stretch_pieces, [*keys, "doc_id", "start"]).drop(*keys)

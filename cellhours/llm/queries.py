@@ -108,6 +108,7 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("removed") > 0).alias("has_repeat"),
     )
 
 
