@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from cellhours.llm.mixing import mix_sources
 from cellhours.llm.packing import pack_documents
 from cellhours.llm.pii import find_pii, mask
 from cellhours.llm.quality import quality_rules
-from cellhours.llm.simhash import simhash_components
+from cellhours.llm.simhash import one_per_component
 from cellhours.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,36 +29,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays: the one with the least id, then the least text hash.
-
-    Rows without an id come after the others. Of several rows with the same id and text one stays.
-    The texts are not shuffled for the components: only ids, hashes and fingerprints are, and then
-    the rows that stay are looked up by id and text hash.
-    """
-    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    marked = simhash_components(ids, shingle=4, max_distance=4, root="root")
-    rank = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_key", "n")
-    chosen = (
-        marked.groupBy("root", "doc_id", "text_key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("root")
-        .agg(F.min(rank).alias("one"))
-    )
-    chosen = materialise(chosen.select("one.doc_id", "one.text_key", "one.n"), "pipeline-chosen")
-    key, wanted_id, wanted_key = (fresh_name(docs, n) for n in ("text_key", "w_id", "w_key"))
-    keyed = docs.withColumn(key, F.xxhash64("text"))
-
-    def rows_of(keys: DataFrame) -> DataFrame:
-        keys = keys.select(F.col("doc_id").alias(wanted_id), F.col("text_key").alias(wanted_key))
-        same = F.col("doc_id").eqNullSafe(F.col(wanted_id)) & (F.col(key) == F.col(wanted_key))
-        return keyed.join(keys, same, "left_semi")
-
-    kept = rows_of(chosen.where("n = 1")).select(*docs.columns)
-    several = chosen.where("n > 1")
-    if not several.isEmpty():  # rows with one id and text: one of them stays
-        row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
-        kept = kept.unionByName(rows_of(several).groupBy("doc_id", key).agg(row).select("row.*"))
-    return kept
+    """One row of each component of near copies stays, see `one_per_component`."""
+    return one_per_component(docs, shingle=4, max_distance=4)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,8 +58,21 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token windows of 2048, one row per piece of a document."""
-    return pack_documents(docs, file="word_bpe_49k.json", end_id=1, window=2048)
+    """Token windows of 2048, one row per piece of a document, along the schedule of the mixing.
+
+    The mixing wrote its rows in schedule order, which their file and place in it still tell.
+    Documents that are no table of files have no order to follow.
+    """
+    order = [fresh_name(docs, "in_file"), fresh_name(docs, "in_row")]
+    try:
+        docs = docs.select(
+            "*",
+            F.col("_metadata.file_name").alias(order[0]),
+            F.col("_metadata.row_index").alias(order[1]),
+        )
+    except AnalysisException:
+        order = []
+    return pack_documents(docs, file="word_bpe_49k.json", end_id=1, window=2048, order=order)
 
 
 STAGES: list[tuple[str, Stage]] = [
