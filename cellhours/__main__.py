@@ -1,8 +1,11 @@
 """Jobs for spark-submit.
 
     features       rebuild, check and publish the feature table
+    capture        take landed feed answers into the report table, as a stream
+    import-landed  the same at once, for answers landed as text
     import-legacy  bring the earlier Parquet history into the report table
     report         coverage gaps, completeness and sweep health
+    clean          delete feature folders that no recent build needs
 
 A job that could not do its work exits with 1.
 """
@@ -19,10 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from cellhours.functions.timeslots import utc_date
 from cellhours.operators import coverage, health
 from cellhours.plans.build import run_feature_build
+from cellhours.plans.incremental import run_incremental_build
+from cellhours.schemas import LANDED_TEXT
 from cellhours.session import START_SETTINGS, apply_settings
 from cellhours.sources import legacy
-from cellhours.sources.observations import stored_observations
+from cellhours.sources.feature_store import drop_unreferenced, export_features, read_features
+from cellhours.sources.observations import append_if_absent, stored_observations
 from cellhours.sources.runs import recent_runs, run_state, runs_by_status
+from cellhours.sources.snapshots import broken_answers, flatten_snapshots, parse_bodies
+from cellhours.streaming.capture import snapshot_stream, start_capture
 
 logger = logging.getLogger("cellhours")
 
@@ -36,13 +44,18 @@ def _session() -> SparkSession:
 
 def features(spark: SparkSession, args: argparse.Namespace) -> int:
     now = args.now or datetime.now(UTC)
-    result = run_feature_build(
-        stored_observations(spark, args.observations),
-        args.store,
-        now,
-        export_to=args.out,
-        store=not args.no_store,
-    )
+    if args.incremental:
+        result = run_incremental_build(spark, args.observations, args.store, now)
+        if args.out and result.published:
+            export_features(read_features(spark, args.store), args.out)
+    else:
+        result = run_feature_build(
+            stored_observations(spark, args.observations),
+            args.store,
+            now,
+            export_to=args.out,
+            store=not args.no_store,
+        )
     if result.capture_problem:
         logger.error("capture watchdog: %s", result.capture_problem)
     for problem in result.problems:
@@ -52,6 +65,31 @@ def features(spark: SparkSession, args: argparse.Namespace) -> int:
     return 1 if result.problems else 0
 
 
+def capture(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Take in what has landed since the last run, or go on doing so."""
+    stream = snapshot_stream(spark, args.landing)
+    query = start_capture(stream, args.observations, args.checkpoint, continuous=args.every)
+    query.awaitTermination()
+    return 0
+
+
+def import_landed(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Answers landed as text, all at once: reports into the table, broken answers on the log."""
+    landed = parse_bodies(spark.read.schema(LANDED_TEXT).json(args.landing))
+    unread = broken_answers(landed).collect()  # a row per sweep and disc
+    for row in unread:
+        logger.error("%s, %s: %d answers could not be read", *row)
+    added = append_if_absent(flatten_snapshots(landed), args.observations)
+    logger.info("%d rows were new to the table", added)
+    return 1 if unread else 0
+
+
+def clean(spark: SparkSession, args: argparse.Namespace) -> int:
+    for path in drop_unreferenced(spark, args.store, args.keep):
+        logger.info("deleted %s", path)
+    return 0
+
+
 def import_legacy(spark: SparkSession, args: argparse.Namespace) -> int:
     rows = legacy.to_observations(legacy.load_legacy(spark, args.raw_root))
     stored = stored_observations(spark, args.observations)
@@ -94,9 +132,29 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--store", required=True, help="root of the feature store")
     build.add_argument("--out", help="also write the table as plain Parquet")
     build.add_argument("--no-store", action="store_true", help="build and check only")
+    build.add_argument(
+        "--incremental", action="store_true", help="build anew only what new reports can change"
+    )
     build.add_argument("--now", type=_instant, help="clock of the run (ISO, default: now)")
     build.set_defaults(job=features)
 
+    take = jobs.add_parser("capture")
+    take.add_argument("--landing", required=True, help="folder of landed answers (JSON lines)")
+    take.add_argument("--observations", required=True, help="raw report table")
+    take.add_argument("--checkpoint", required=True, help="folder of the stream's progress")
+    take.add_argument("--every", help="interval to go on at (default: stop when all is taken in)")
+    take.set_defaults(job=capture)
+
+    landed = jobs.add_parser("import-landed")
+    landed.add_argument("--landing", required=True, help="answers as text in JSON lines")
+    landed.add_argument("--observations", required=True, help="raw report table")
+    landed.set_defaults(job=import_landed)
+
+    sweep = jobs.add_parser("clean")
+    sweep.add_argument("--store", required=True, help="root of the feature store")
+    sweep.add_argument("--keep", type=int, default=24, help="newest builds to keep whole")
+    sweep.set_defaults(job=clean)
+
     bring = jobs.add_parser("import-legacy")
     bring.add_argument("--raw-root", required=True, help="folder with date=*/ partitions")
     bring.add_argument("--observations", required=True, help="raw report table")

@@ -64,6 +64,11 @@ SNAPSHOT = _struct(
     ("body", FEED_BODY),
 )
 
+# The same with the answer as it came, for answers that may be broken.
+LANDED_TEXT = _struct(
+    *[(f.name, f.dataType) for f in SNAPSHOT.fields if f.name != "body"], ("body", T.StringType())
+)
+
 INGEST_RUNS = _struct(
     ("run_id", T.StringType()),
     ("started_at", T.TimestampType()),

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from cellhours import Rules
 from cellhours.operators import cells
-from cellhours.sources.snapshots import flatten_snapshots, parse_bodies, snapshot_cells
-from tests.conftest import EAST, EAST_CELL, HOME_CELL, T0, hour_of_reports, observations, report
+from cellhours.sources.runs import sweep_status, with_broken_answers
+from cellhours.sources.snapshots import (
+    broken_answers,
+    flatten_snapshots,
+    parse_bodies,
+    snapshot_cells,
+)
+from tests.conftest import EAST, EAST_CELL, HOME_CELL, T0, observations, report, traffic
 
 BODY = """{"now": 1, "ac": [%s]}"""
 
@@ -71,19 +77,34 @@ def test_live_path_gives_cell_rows(spark):
     assert [(r.h3_cell, r.aircraft_count, r.is_degraded) for r in rows] == [(HOME_CELL, 10, 1)]
 
 
-@pytest.mark.parametrize(
-    ("at", "slot"),
-    [
-        ((14, 37, 22), 14),
-        ((14, 0, 0), 14),
-        ((14, 59, 59), 14),
-        ((0, 0, 1), 0),
-    ],
-)
-def test_slot_floor(spark, at, slot):
-    when = datetime(2026, 10, 1, *at, tzinfo=UTC)
-    row = cells.with_slot(observations(spark, [report("a", 8, when)])).first()
-    assert row.slot_start == datetime(2026, 10, 1, slot)
+def test_slots_begin_on_the_hour_across_days_and_years(spark):
+    """Every eleventh minute around New Year and a leap day, and the last microseconds of both."""
+    starts = [datetime(2027, 12, 31, 21, tzinfo=UTC), datetime(2028, 2, 28, 22, tzinfo=UTC)]
+    times = [s + timedelta(minutes=11 * i, microseconds=i) for s in starts for i in range(40)]
+    times += [s.replace(hour=23, minute=59, second=59, microsecond=999_999) for s in starts]
+    rows = [report(f"a{i}", 8, at) for i, at in enumerate(times)]
+    found = {r.hex: r.slot_start for r in cells.with_slot(observations(spark, rows)).collect()}
+    for i, at in enumerate(times):
+        past = timedelta(minutes=at.minute, seconds=at.second, microseconds=at.microsecond)
+        assert found[f"a{i}"].replace(tzinfo=UTC) == at - past
+
+
+def test_a_broken_answer_is_taken_as_a_whole(spark):
+    good = BODY % ", ".join([plane("a"), plane("b").replace('"hex": "b", ', "")])
+    wrong = BODY % ", ".join([plane("c"), plane("d", lat='"north"')])
+    bodies = [good, good[:-4], "", "not json", wrong, None, '{"now": 2}', '{"now": 2, "ac": []}']
+    rows = [(T0, f"d{i}", False, "run", b) for i, b in enumerate(bodies)]
+    schema = "observed_at timestamp, sample_point string, is_control_region boolean, ingest_run_id string, body string"
+    parsed = parse_bodies(spark.createDataFrame(rows, schema))
+    assert sorted(r.hex for r in flatten_snapshots(parsed).collect()) == ["", "a"]
+    unread = broken_answers(parsed)
+    assert {r.sample_point: r.broken for r in unread.collect()} == {"d1": 1, "d2": 1, "d3": 1, "d4": 1}
+    polls = [("run", i, f"d{i}", i != 5, "timeout" if i == 5 else None) for i in range(8)]
+    table = spark.createDataFrame(polls, "run_id string, seq int, sample_point string, ok boolean, error string")
+    planned = spark.createDataFrame([("run", T0, 8)], "run_id string, slot_start timestamp, points_attempted int")
+    sweep = sweep_status(with_broken_answers(table, unread), planned).first()
+    assert (sweep.status, sweep.points_succeeded) == ("partial", 3)
+    assert sweep.error == "answer of d1 could not be read"
 
 
 def test_slot_floor_ignores_the_session_zone(spark):
@@ -97,7 +118,7 @@ def test_slot_floor_ignores_the_session_zone(spark):
 
 
 def test_traffic_floor_drops_thin_cells(spark):
-    rows = hour_of_reports(0, 0) + hour_of_reports(1, 0, n=4) + hour_of_reports(2, 0, n=5)
+    rows = traffic([0], lambda _: 0) + traffic([1], lambda _: 0, vehicles=4) + traffic([2], lambda _: 0, vehicles=5)
     hours = [r.slot_start.hour for r in cells.cell_hourly(observations(spark, rows)).collect()]
     assert sorted(hours) == [0, 2]
     all_hours = cells.cell_hourly(observations(spark, rows), traffic_floor=False)
@@ -106,13 +127,13 @@ def test_traffic_floor_drops_thin_cells(spark):
 
 @pytest.mark.parametrize(("degraded", "label"), [(2, 0), (3, 1), (4, 1)])
 def test_label_boundary_is_inclusive(spark, degraded, label):
-    row = cells.cell_hourly(observations(spark, hour_of_reports(0, degraded))).first()
+    row = cells.cell_hourly(observations(spark, traffic([0], lambda _: degraded / 10))).first()
     assert (row.degraded_share, row.is_degraded) == (degraded / 10, label)
 
 
 def test_an_aircraft_counts_once_at_its_worst(spark):
     at = T0 + timedelta(minutes=1)
-    rows = hour_of_reports(0, 0, n=5)
+    rows = traffic([0], lambda _: 0, vehicles=5)
     rows += [report("v-0", nic, at + timedelta(minutes=m), disc=d)
              for m, (nic, d) in enumerate([(8, "d1"), (3, "d2"), (9, "d1"), (3, "d1")])]
     row = cells.cell_hourly(observations(spark, rows)).first()
@@ -160,7 +181,7 @@ def test_negative_nic_and_wide_slots_keep_their_order(spark):
 
 
 def test_distinct_cells_and_altitude_rules(spark):
-    rows = hour_of_reports(0, 0) + hour_of_reports(0, 9, place=EAST, tag="e")
+    rows = traffic([0], lambda _: 0) + traffic([0], lambda _: 0.9, place=EAST, tag="e")
     rows += [
         report(f"low{i}", 0, T0, altitude=a) for i, a in enumerate([19_999.0, None, 0.0])
     ]
@@ -170,13 +191,13 @@ def test_distinct_cells_and_altitude_rules(spark):
 
 
 def test_own_cell_ids_can_be_brought(spark):
-    rows = observations(spark, hour_of_reports(0, 3)).withColumn("h3_cell", F.lit("821f1ffffffffff"))
+    rows = observations(spark, traffic([0], lambda _: 0.3)).withColumn("h3_cell", F.lit("821f1ffffffffff"))
     assert cells.aggregate_cells(rows).first().h3_cell == "821f1ffffffffff"
 
 
 def test_copies_of_one_report_change_nothing(spark):
     """A third of all rows are copies of one report; the plan reduces them before the shuffle."""
-    rows = observations(spark, hour_of_reports(0, 3))
+    rows = observations(spark, traffic([0], lambda _: 0.3))
     many_times = F.explode(F.sequence(F.lit(1), F.lit(5_000)))
     copies = rows.filter("hex = 'a00000'").withColumn("n", many_times).drop("n")
     once, many = cells.cell_hourly(rows), cells.cell_hourly(rows.unionByName(copies))

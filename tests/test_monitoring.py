@@ -6,7 +6,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import functions as F
 
 from cellhours.operators import coverage, health
-from tests.conftest import T0, hour_of_reports, observations, report
+from tests.conftest import T0, observations, report, traffic
 from tests.test_store import run_log, run_row
 
 
@@ -28,8 +28,8 @@ def test_watchdog_fresh_stale_empty_and_exactly_at_the_limit(spark):
 
 
 def test_coverage_shows_gaps_as_zeros_and_counts_all_altitudes(spark):
-    rows = hour_of_reports(0, 0, n=3) + hour_of_reports(3, 0, n=2)
-    rows += [dict(r, sample_point="d1") for r in hour_of_reports(3, 0, n=2)]
+    rows = traffic([0], lambda _: 0, vehicles=3) + traffic([3], lambda _: 0, vehicles=2)
+    rows += [dict(r, sample_point="d1") for r in traffic([3], lambda _: 0, vehicles=2)]
     rows += [report("low", 8, T0, altitude=None)]
     table = coverage.slot_coverage(observations(spark, rows))
     got = [(r.slot_start.hour, r.observations, r.aircraft, r.points) for r in table.collect()]
@@ -53,31 +53,27 @@ def edges(spark, outcomes):
     return table.collect()
 
 
-def test_alerts_only_on_state_change(spark):
-    got = edges(
-        spark,
-        [
-            (0, 18, "ok", None),
-            (1, 14, "partial", "timeout"),
-            (2, 0, "failed", None),
-            (3, 0, "failed", None),
-            (4, 18, "ok", None),
-            (5, 18, "ok", None),
-        ],
-    )
-    assert [(r.transition, r.priority, r.slot_start.hour) for r in got] == [
-        ("degraded", "high", 1), ("recovered", "default", 4)
+def test_an_edge_for_each_outage_and_none_in_between(spark):
+    """Two outages over midnight and noon, the second without a single answer at its begin."""
+    healthy = [(h, 18, "ok", None) for h in (20, 21, 26, 27, 35, 40)]
+    night = [(22, 6, "partial", "p3 refused"), (23, 2, "partial", None), (25, 0, "failed", None)]
+    noon = [(36, 0, "failed", None), (38, 5, "partial", "p1 slow")]
+    got = edges(spark, sorted(healthy + night + noon))
+    hours = [(r.slot_start.replace(tzinfo=UTC) - T0) // timedelta(hours=1) for r in got]
+    assert [(h, r.transition) for h, r in zip(hours, got, strict=True)] == [
+        (22, "degraded"), (26, "recovered"), (36, "degraded"), (40, "recovered")
     ]
-    assert got[0].body == "Slot 2026-10-01 01:00 UTC: 14/18 discs OK. Error: timeout"
-    assert got[1].body == (
-        "Slot 2026-10-01 04:00 UTC: 18/18 discs OK again (degraded since 2026-10-01 01:00 UTC)."
-    )
+    assert [r.priority for r in got] == ["high", "default", "urgent", "default"]
+    assert got[0].body.endswith("Error: p3 refused") and "22:00" in got[0].body
+    assert "since 2026-10-02 12:00 UTC" in got[3].body
 
 
-def test_total_loss_is_urgent_and_a_lost_write_is_degraded(spark):
-    assert edges(spark, [(0, 0, "failed", "deadline")])[0].priority == "urgent"
-    lost = edges(spark, [(0, 18, "failed", "persist sweep: refused")])
-    assert [(r.transition, r.priority) for r in lost] == [("degraded", "high")]
+def test_a_sweep_whose_rows_were_lost_is_no_healthy_one(spark):
+    """All discs answered, but the last write did not succeed, in the middle of a good day."""
+    rows = [(5, 18, "ok", None), (6, 18, "failed", "disk full while storing"), (9, 18, "ok", None)]
+    assert [(r.transition, r.slot_start.hour) for r in edges(spark, rows)] == [
+        ("degraded", 6), ("recovered", 9)
+    ]
 
 
 def test_running_sweeps_have_no_outcome_yet(spark):

@@ -11,7 +11,7 @@ from cellhours.plans.build import run_feature_build
 from cellhours.schemas import INGEST_RUNS
 from cellhours.sources import feature_store, legacy, runs
 from cellhours.sources import observations as store
-from tests.conftest import T0, cell_rows, hour_of_reports, observations, report
+from tests.conftest import T0, cell_rows, observations, report, traffic
 
 NOW = datetime(2026, 10, 3, tzinfo=UTC)
 
@@ -33,9 +33,9 @@ def test_read_applies_floor_and_inclusive_bounds(spark):
 
 def test_append_skips_stored_keys_and_repeats(spark, tmp_path):
     table = str(tmp_path / "observations")
-    first = hour_of_reports(0, 3)
+    first = traffic([0], lambda _: 0.3)
     assert store.append_if_absent(observations(spark, first + first), table) == 10
-    again = first + hour_of_reports(30, 0)
+    again = first + traffic([30], lambda _: 0)
     assert store.append_if_absent(observations(spark, again), table) == 10
     assert store.append_if_absent(observations(spark, again), table) == 0
     assert store.append_if_absent(observations(spark, []), table) == 0
@@ -48,7 +48,7 @@ def test_append_skips_stored_keys_and_repeats(spark, tmp_path):
 def test_reads_prune_date_folders(spark, tmp_path):
     table = str(tmp_path / "observations")
     store.append_if_absent(
-        observations(spark, hour_of_reports(0, 0) + hour_of_reports(30, 0)), table
+        observations(spark, traffic([0], lambda _: 0) + traffic([30], lambda _: 0)), table
     )
     ranged = store.read_observations(
         store.stored_observations(spark, table), T0 + timedelta(hours=24), ordered=False
@@ -98,19 +98,23 @@ def run_log(spark, rows):
     return spark.createDataFrame(rows, f"seq int, {INGEST_RUNS.simpleString()[7:-1]}".replace(":", " "))
 
 
-def test_run_state_keeps_the_first_start(spark):
-    log = run_log(
-        spark,
-        [
-            run_row("r1", 0, "running", ok=0, finished=False),
-            run_row("r1", 0, "partial", ok=17, error="timeout", seq=3),
-            run_row("r2", 1, "running", ok=0, finished=False),
-        ],
-    )
-    got = {r.run_id: r for r in runs.run_state(log).collect()}
-    assert got["r1"].status == "partial" and got["r1"].points_succeeded == 17
-    assert got["r1"].started_at.minute == 0
-    assert got["r2"].status == "running" and got["r2"].finished_at is None
+def test_run_state_folds_records_in_any_order(spark):
+    """Three sweeps of one, two and four records, told by their number and not by their place."""
+    records = [
+        run_row("swept", 9, "ok", ok=18, seq=8),
+        run_row("open", 11, "running", ok=0, finished=False),
+        run_row("swept", 9, "running", ok=3, seq=2, finished=False),
+        run_row("lost", 10, "failed", ok=0, error="host away", seq=1),
+        run_row("swept", 9, "running", ok=0, seq=1, finished=False),
+        run_row("lost", 10, "running", ok=0, finished=False),
+        run_row("swept", 9, "partial", ok=12, error="p5 mute", seq=6),
+    ]
+    got = {r.run_id: r for r in runs.run_state(run_log(spark, records)).collect()}
+    assert {k: (r.status, r.points_succeeded, r.error) for k, r in got.items()} == {
+        "swept": ("ok", 18, None), "open": ("running", 0, None), "lost": ("failed", 0, "host away")
+    }
+    assert [got[k].started_at.minute for k in ("swept", "open", "lost")] == [1, 0, 0]
+    assert got["open"].finished_at is None and got["swept"].finished_at is not None
 
 
 def test_stale_runs_are_closed_once(spark):
@@ -161,7 +165,7 @@ def test_sweep_status(spark):
 
 
 def history(hours=40, bad=lambda h: 4 if 10 <= h < 14 else 0):
-    return [r for h in range(hours) for r in hour_of_reports(h, bad(h))]
+    return [r for h in range(hours) for r in traffic([h], lambda _: bad(h) / 10)]
 
 
 def test_every_build_is_logged_and_the_newest_is_read(spark, tmp_path):

@@ -12,7 +12,7 @@ from cellhours.sources.runs import run_state
 from cellhours.streaming.capture import snapshot_stream, start_capture
 from cellhours.streaming.cells import start_cell_hourly
 from cellhours.streaming.health import start_health
-from tests.conftest import T0, hour_of_reports, observations, report
+from tests.conftest import T0, observations, report, traffic
 from tests.test_store import run_log, run_row
 
 
@@ -63,7 +63,7 @@ def test_capture_keeps_late_reports_whatever_the_trigger_size(spark, tmp_path):
 
 def test_stream_equals_batch_on_closed_hours(spark, tmp_path):
     source, table, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    rows = [r for h in range(8) if h != 3 for r in hour_of_reports(h, h % 5)]
+    rows = [r for h in range(8) if h != 3 for r in traffic([h], lambda _: h % 5 / 10)]
     rows += [report("a00000", 1, T0 + timedelta(hours=2, minutes=40), disc="d1")]
     closing = [report("z", 8, T0 + timedelta(hours=9))]
     observations(spark, rows).write.parquet(source)
@@ -89,8 +89,8 @@ def test_rows_behind_the_watermark_are_left_to_the_batch(spark, tmp_path):
         start_cell_hourly(stream, table, state).awaitTermination()
         return spark.read.parquet(table)
 
-    run(hour_of_reports(0, 0) + hour_of_reports(5, 0))
-    late = run(hour_of_reports(0, 10, tag="late") + hour_of_reports(9, 0))
+    run(traffic([0], lambda _: 0) + traffic([5], lambda _: 0))
+    late = run(traffic([0], lambda _: 1, tag="late") + traffic([9], lambda _: 0))
     first = [r for r in late.collect() if r.slot_start.hour == 0]
     assert [(r.aircraft_count, r.degraded_share) for r in first] == [(10, 0.0)]
 
