@@ -29,6 +29,7 @@ from cellhours.sources import legacy
 from cellhours.sources.feature_store import drop_unreferenced, export_features, read_features
 from cellhours.sources.observations import append_if_absent, stored_observations
 from cellhours.sources.runs import recent_runs, run_state, runs_by_status
+from cellhours.sources.scratch import materialise
 from cellhours.sources.snapshots import broken_answers, flatten_snapshots, parse_bodies
 from cellhours.streaming.capture import snapshot_stream, start_capture
 
@@ -91,12 +92,12 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def import_legacy(spark: SparkSession, args: argparse.Namespace) -> int:
-    rows = legacy.to_observations(legacy.load_legacy(spark, args.raw_root))
+    rows = legacy.staged_history(spark, args.raw_root)
     stored = stored_observations(spark, args.observations)
     summary = legacy.import_summary(rows, stored).first().asDict()
     logger.info("history holds %s", summary)
     if not args.dry_run:
-        added = legacy.import_legacy(spark, args.raw_root, args.observations)
+        added = append_if_absent(rows, args.observations, unique=True)
         logger.info("%d rows were new to the table", added)
     return 0
 
@@ -107,7 +108,8 @@ def _show_all(table: DataFrame) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> int:
-    hours = coverage.slot_coverage(stored_observations(spark, args.observations), ordered=False)
+    reports = stored_observations(spark, args.observations)
+    hours = materialise(coverage.slot_coverage(reports, ordered=False), "coverage")
     _show_all(coverage.gap_report(hours).orderBy("date"))
     _show_all(coverage.completeness(hours))
     if args.run_log:

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.functions.grid import side_km, with_hexagon_key, with_plane_position
+from cellhours.functions.grid import side_km, with_cell_key, with_hexagon_key, with_plane_position
 from cellhours.operators.cells import (
     CELL_KEY,
-    assign_cells,
-    cell_hourly,
     cruise_filter,
     summarise_cells,
     with_slot,
 )
+from cellhours.operators.coverage import SIDES
 from cellhours.operators.ordering import average_ranks
-from cellhours.schemas import CELL, KEYS, LABEL, SLOT, TARGET
+from cellhours.schemas import CELL, LABEL, SLOT, TARGET
 from cellhours.sources.scratch import materialise
 
 
@@ -48,27 +47,38 @@ def transition_rates(features: DataFrame) -> DataFrame:
 def floor_audit(observations: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per disc: share of its cell hours under the traffic floor, and how degraded those were.
 
-    A cell hour counts for every disc that reported into it.
+    A cell hour counts for every disc that reported into it. The reports are read once and
+    reduced to (cell, hour, aircraft, disc). Those split into their aircraft and their discs, and
+    a cell hour takes its label from the former and its few discs from the latter.
     """
-    hours = cell_hourly(observations, rules, traffic_floor=False)
-    located = assign_cells(
-        cruise_filter(observations, rules).select("observed_at", "lat", "lon", "sample_point"),
-        rules,
-    )
-    seen_by = located.select("sample_point", *KEYS).distinct()
-    dropped = F.col("aircraft_count") < F.lit(rules.min_aircraft)
-    bad = F.col(LABEL).cast("double")
-    return (
-        seen_by.join(hours, KEYS)
-        .groupBy("sample_point")
-        .agg(
-            F.count(F.lit(1)).alias("cell_hours"),
-            F.count_if(dropped).alias("dropped"),
-            F.avg(dropped.cast("double")).alias("drop_rate"),
-            F.avg(bad).alias("degraded_rate"),
-            F.avg(F.when(dropped, bad)).alias("dropped_degraded_rate"),
-            F.avg(F.when(~dropped, bad)).alias("kept_degraded_rate"),
-        )
+    needed = cruise_filter(observations, rules).select(
+        "observed_at", "hex", "lat", "lon", "nic", "sample_point"
+    )
+    placed = with_cell_key(with_slot(needed, rules), rules.grid_resolution, CELL_KEY)
+    seen = placed.groupBy(CELL_KEY, SLOT, "hex", "sample_point").agg(F.min("nic").alias("nic"))
+    sides = seen.selectExpr(
+        CELL_KEY, SLOT, "nic", SIDES
+    )
+    counted = sides.groupBy(CELL_KEY, SLOT, "_air", "_who").agg(F.min("nic").alias("nic"))
+    aircraft = "_air AND _who IS NOT NULL"
+    hours = counted.groupBy(CELL_KEY, SLOT).agg(
+        F.expr(f"count_if({aircraft})").alias("aircraft_count"),
+        F.expr(f"count_if({aircraft} AND nic < {rules.nic_degraded_below})").alias("_degraded"),
+        F.expr("collect_list(if(_air, NULL, struct(_who AS sample_point)))").alias("_discs"),
+    )
+    by_disc = hours.filter("aircraft_count > 0").selectExpr(
+        f"aircraft_count < {rules.min_aircraft} AS _dropped",
+        f"cast(_degraded / aircraft_count >= {rules.degraded_share_from!r}D AS double) AS _bad",
+        "inline(_discs)",
+    )
+    dropped, bad = F.col("_dropped"), F.col("_bad")
+    return by_disc.groupBy("sample_point").agg(
+        F.count(F.lit(1)).alias("cell_hours"),
+        F.count_if(dropped).alias("dropped"),
+        F.avg(dropped.cast("double")).alias("drop_rate"),
+        F.avg(bad).alias("degraded_rate"),
+        F.avg(F.when(dropped, bad)).alias("dropped_degraded_rate"),
+        F.avg(F.when(~dropped, bad)).alias("kept_degraded_rate"),
     )
 
 

@@ -2,33 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.functions.timeslots import hour_of_day, hours_between, utc_date
+from cellhours.functions.timeslots import hour_of_day, hours_between, plus_minutes, utc_date
 from cellhours.schemas import SLOT
 
+# A row per (aircraft, disc) as a row of its aircraft and a row of its disc.
+SIDES = (
+    "inline(array(named_struct('_air', true, '_who', hex),"
+    " named_struct('_air', false, '_who', sample_point)))"
+)
+
 
 def slot_coverage(observations: DataFrame, ordered: bool = True) -> DataFrame:
     """Reports, aircraft and discs per hour over all altitudes; a gap is a row of zeros.
 
-    Reports are reduced to one row per hour before they meet the hours of the span, which come
-    from a scalar subquery over the slot column alone.
+    The reports are read once and reduced to a row per (hour, aircraft, disc). Those split into
+    their aircraft and their discs, so both distinct counts come from one grouping of reduced
+    rows. A report without an address counts under the empty text. The hours missing before the
+    next one are made from the counted hours; one task sees a row per hour of history.
     """
-    hourly = observations.groupBy(SLOT).agg(
-        F.count("hex").alias("observations"),
-        F.count_distinct("hex").alias("aircraft"),
-        F.count_distinct("sample_point").alias("points"),
+    address = "coalesce(hex, '') AS hex"
+    seen = observations.selectExpr(SLOT, address, "sample_point").groupBy(
+        SLOT, "hex", "sample_point"
+    ).agg(F.expr("count(1)").alias("n"))
+    sides = seen.selectExpr(SLOT, "n", SIDES)
+    counted = sides.groupBy(SLOT, "_air", "_who").agg(F.sum("n").alias("n"))
+    hourly = counted.groupBy(SLOT).agg(
+        F.expr("sum(if(_air, n, 0L))").alias("observations"),
+        F.expr("count_if(_air)").alias("aircraft"),
+        F.expr("count_if(NOT _air AND _who IS NOT NULL)").alias("points"),
     )
-    span = observations.agg(F.struct(F.min(SLOT).alias("lo"), F.max(SLOT).alias("hi"))).scalar()
-    hours = F.sequence(
-        span.getField("lo"), span.getField("hi"), F.make_dt_interval(hours=F.lit(1))
+    after = F.lead(SLOT).over(Window.orderBy(SLOT))
+    spread = hourly.filter(F.col(SLOT).isNotNull()).withColumn("_after", after).selectExpr(
+        "*",
+        f"explode(sequence(0, greatest(0, cast(coalesce((unix_seconds(_after) - "
+        f"unix_seconds({SLOT})) div 3600, 1L) AS int) - 1))) AS _gap",
     )
-    spine = observations.sparkSession.range(1).select(F.explode(hours).alias(SLOT))
-    counts = ["observations", "aircraft", "points"]
-    covered = spine.join(hourly, SLOT, "left").select(
-        SLOT, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts]
+    covered = spread.select(
+        plus_minutes(F.col(SLOT), F.col("_gap") * 60).alias(SLOT),
+        *[F.expr(f"if(_gap = 0, {c}, 0L)").alias(c) for c in ("observations", "aircraft", "points")],
     )
     return covered.orderBy(SLOT) if ordered else covered
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
-from cellhours.functions.timeslots import hour_index, hour_of_day, plus_minutes, utc_date
+from cellhours.functions.timeslots import hour_index, hour_index_sql, hour_of_day, plus_minutes, utc_date
 from cellhours.operators.ordering import running_totals
 from cellhours.schemas import CELL, KEYS, LABEL, SLOT, TARGET
 
@@ -19,19 +19,36 @@ def chrono_split(
 ) -> DataFrame:
     """Add `segment`: train, validation, test, or gap.
 
-    The cuts are positions in the sorted list of distinct hours, which is as long as the history
-    has hours. A row whose target lies beyond its segment's end belongs to no segment, so no
-    example straddles a boundary.
+    The cuts are positions in the order of the distinct hours, found by running counts over the
+    days: one task sees a row per day of history. A row whose target lies beyond its segment's
+    end belongs to no segment, so no example straddles a boundary.
     """
-    hours = features.agg(F.sort_array(F.collect_set(hour_index(SLOT))).alias("h")).scalar()
+    hour = hour_index_sql(SLOT)
+    days = features.groupBy(F.expr(f"cast(floor({hour} / 24) AS int)").alias("_day")).agg(
+        F.expr(f"bit_or(shiftleft(1, pmod({hour}, 24)))").alias("_hours")  # a bit per hour
+    )
+    every = Window.orderBy("_day")
+    placed = days.where("_day IS NOT NULL").select(
+        "_day",
+        F.expr("filter(sequence(0, 23), h -> getbit(_hours, h) = 1)").alias("_hours"),
+        F.sum(F.bit_count("_hours")).over(every).alias("_upto"),
+        F.sum(F.bit_count("_hours")).over(Window.partitionBy()).alias("_total"),
+    )
 
-    def cut(percent: int) -> Column:
-        position = F.ceil(F.size(hours) * F.lit(percent) / F.lit(100)).cast("int")
-        return F.element_at(hours, F.greatest(F.lit(1), position))
+    def at(percent: int) -> Column:
+        position = f"greatest(1L, ceil(_total * {percent} / 100))"
+        inside = f"cast({position} - _upto + size(_hours) AS int)"
+        found = f"if({inside} BETWEEN 1 AND size(_hours), _day * 24 + _hours[{inside} - 1], NULL)"
+        return F.expr(f"max({found})")
 
+    cuts = placed.agg(
+        F.struct(
+            at(train_percent).alias("first"), at(train_percent + validation_percent).alias("second")
+        )
+    ).scalar()
     now = hour_index(SLOT)
     later = now + F.lit(rules.horizon_hours)
-    first, second = cut(train_percent), cut(train_percent + validation_percent)
+    first, second = cuts.getField("first"), cuts.getField("second")
     segment = (
         F.when(now > second, "test")
         .when((now > first) & (later <= second), "validation")

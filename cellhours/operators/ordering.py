@@ -34,48 +34,68 @@ def with_previous(
     )
 
 
+def _step_sql(key: str) -> str:
+    """A BIGINT that never falls as a numeric key grows: 2^36 steps per power of two.
+
+    Zero is step 0, the steps of negative keys are those of their absolute values mirrored.
+    Infinity and NaN share the highest step.
+    """
+    size = f"least(abs(cast({key} AS double)), 1.7e308D)"
+    power = f"floor(log2({size}))"
+    inside = f"({size} / pow(2D, {power}) - 1D) * {float(1 << 36)!r}D"
+    step = (
+        f"({power} + 1075L) * {1 << 36}L + 1L"
+        f" + cast(least(greatest({inside}, 0D), {float((1 << 36) - 1)!r}D) AS bigint)"
+    )
+    return f"CASE WHEN {key} = 0 THEN 0L WHEN {key} < 0 THEN -({step}) ELSE {step} END"
+
+
 def running_totals(
-    df: DataFrame, key: str, columns: list[str], descending: bool = False, blocks: int = 256
+    df: DataFrame, key: str, columns: list[str], descending: bool = False
 ) -> DataFrame:
     """Cumulative sums `cum_<column>` in order of a unique numeric key.
 
-    The blocks are cut at approximate quantiles of the key, so each holds about the same number
-    of keys however they are spread. The cut points are at most `blocks` numbers and enter the
-    plan as literals: a task that is run again sees the same blocks.
+    The key is cut into steps of relative width 2^-36, 65 536 steps make a stretch, 65 536
+    stretches a block, and there are at most some 70 000 blocks. Sums run inside each of them and
+    then meet the sums ahead, so no task orders more than about 65 536 doubles at once, however
+    they are crowded. Steps follow from the key alone, not from a sample, and a task that is run
+    again meets the same steps. All levels read one stored copy of the rows.
     """
-    rows = materialise(df.select(key, *columns), "running-totals")
-    cuts = rows.approxQuantile(key, [i / blocks for i in range(1, blocks)], 0.25 / blocks)
-    block = F.lit(0)
-    if cuts:
-        edges = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-        block = F.size(F.filter(edges, lambda edge: edge < F.col(key)))
-    tagged = rows.withColumn(_BLOCK, block)
-
-    def direction(name: str) -> Column:
-        return F.desc(name) if descending else F.asc(name)
-
-    inside = (
-        Window.partitionBy(_BLOCK)
-        .orderBy(direction(key))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [F.sum(c).alias(c) for c in columns]
+
+    def summed(order: str, last: int, *group: str) -> list[Column]:
+        by = F.desc(order) if descending else F.asc(order)
+        window = Window.partitionBy(*group).orderBy(by)
+        frame = window.rowsBetween(Window.unboundedPreceding, last)
+        return [F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"_in_{c}") for c in columns]
+
+    def added(out: str) -> list[Column]:
+        return [(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{out}{c}") for c in columns]
+
+    rows = materialise(
+        df.select(key, *columns, F.expr(_step_sql(f"`{key}`")).alias("_step")), "running-totals"
+    )
+    steps = rows.groupBy("_step").agg(*sums).withColumn("_stretch", F.shiftright("_step", 16))
+    stretches = (
+        steps.groupBy("_stretch").agg(*sums).withColumn(_BLOCK, F.shiftright("_stretch", 16))
+    )
+    blocks = stretches.groupBy(_BLOCK).agg(*sums)
+    # The range of a double bounds the number of blocks: safe to broadcast at any scale.
+    ahead = blocks.select(_BLOCK, *summed(_BLOCK, -1)).withColumnsRenamed(
+        {f"_in_{c}": f"_off_{c}" for c in columns}
     )
-    ahead = Window.orderBy(direction(_BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.groupBy(_BLOCK)
-        .agg(*[F.sum(c).alias(c) for c in columns])
-        .select(
-            _BLOCK, *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"_off_{c}") for c in columns]
-        )
+    ahead = (
+        stretches.select("_stretch", _BLOCK, *summed("_stretch", -1, _BLOCK))
+        .join(F.broadcast(ahead), _BLOCK)
+        .select("_stretch", *added("_off_"))
     )
-    # One row per block, at most `blocks` of them: safe to broadcast at any scale.
-    return tagged.join(F.broadcast(offsets), _BLOCK).select(
-        key,
-        *columns,
-        *[
-            (F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(f"cum_{c}")
-            for c in columns
-        ],
+    ahead = (
+        steps.select("_step", "_stretch", *summed("_step", -1, "_stretch"))
+        .join(ahead, "_stretch")
+        .select("_step", *added("_off_"))
     )
+    inside = rows.select("_step", key, *columns, *summed(key, Window.currentRow, "_step"))
+    return inside.join(ahead, "_step").select(key, *columns, *added("cum_"))
 
 
 def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:

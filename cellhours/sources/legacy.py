@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import slot_floor, utc_text
-from cellhours.schemas import LEGACY_REPORTS, OBSERVATION_KEY, OBSERVATIONS
-from cellhours.sources.observations import append_if_absent, first_per_key
-from cellhours.sources.scratch import path_missing
+from cellhours.schemas import LEGACY_REPORTS, OBSERVATIONS
+from cellhours.sources.observations import append_if_absent, first_per_key, stored_keys
+from cellhours.sources.scratch import materialise, path_missing
 
 RUN_PREFIX = "legacy-parquet"
 
@@ -58,16 +58,25 @@ def to_observations(legacy: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
     return dedupe_legacy(reshape_legacy(legacy, rules))
 
 
+def staged_history(spark: SparkSession, root: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The history as it would be appended, worked out once and stored for the steps after."""
+    return materialise(to_observations(load_legacy(spark, root), rules), "history")
+
+
 def import_summary(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """What an import would do: span of the rows, new ones and those already stored."""
-    stored = existing.select(*OBSERVATION_KEY).withColumn("_stored", F.lit(True))
-    return rows.join(stored, OBSERVATION_KEY, "left").agg(
+    """What an import would do: span of the rows, new ones and those already stored.
+
+    Of a stored table only the dates that the rows span are read.
+    """
+    stored, same = stored_keys(rows, existing)
+    known = F.col("_stored").isNotNull()
+    return rows.join(stored.withColumn("_stored", F.lit(True)), same, "left").agg(
         F.count(F.lit(1)).alias("prepared"),
         F.min("slot_start").alias("first_slot"),
         F.max("slot_start").alias("last_slot"),
         F.count_distinct("slot_start").alias("slots"),
-        F.count_if(F.col("_stored").isNull()).alias("inserted"),
-        F.count_if(F.col("_stored").isNotNull()).alias("already_present"),
+        F.count_if(~known).alias("inserted"),
+        F.count_if(known).alias("already_present"),
     )
 
 
@@ -75,5 +84,6 @@ def import_legacy(
     spark: SparkSession, root: str, path: str, dry_run: bool = False, rules: Rules = DEFAULT_RULES
 ) -> int:
     """Load, reshape and append; running it again adds nothing. Returns the rows added."""
-    rows = to_observations(load_legacy(spark, root), rules)
-    return 0 if dry_run else append_if_absent(rows, path)
+    if dry_run:
+        return 0
+    return append_if_absent(staged_history(spark, root, rules), path, unique=True)

@@ -118,9 +118,8 @@ def first_per_key(rows: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def absent_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of the batch, one per key, whose key is not stored yet."""
-    fresh = first_per_key(batch)
+def stored_keys(batch: DataFrame, existing: DataFrame) -> tuple[DataFrame, Column]:
+    """Keys of the table that a batch can meet, and the condition that a row's key is one."""
     stored = existing
     if DATE in existing.columns:
         # Only the dates the batch touches can hold its keys. The two bounds are a scalar
@@ -132,10 +131,21 @@ def absent_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
         )
     keys = stored.select(*[F.col(c).alias(f"_{c}") for c in OBSERVATION_KEY])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in OBSERVATION_KEY])
-    return fresh.join(keys, same, "left_anti")
+    return keys, same
 
 
-def append_if_absent(batch: DataFrame, path: str, attempts: int = 20) -> int:
+def absent_rows(batch: DataFrame, existing: DataFrame, unique: bool = False) -> DataFrame:
+    """Rows of the batch, one per key, whose key is not stored yet.
+
+    `unique` says that the batch has one row per key already.
+    """
+    fresh = batch if unique else first_per_key(batch)
+    return fresh.join(*stored_keys(batch, existing), "left_anti")
+
+
+def append_if_absent(
+    batch: DataFrame, path: str, attempts: int = 20, unique: bool = False
+) -> int:
     """Append the rows whose key is new; returns how many. Replaying a batch adds nothing.
 
     A NULL in a key equals a NULL. Any number of writers may append at a time: a commit that
@@ -146,7 +156,7 @@ def append_if_absent(batch: DataFrame, path: str, attempts: int = 20) -> int:
     columns = [f.name for f in OBSERVATIONS.fields]
     known = log_entries(spark, path)
     version = known[-1].version if known else 0
-    fresh = absent_rows(batch.select(*columns), stored_observations(spark, path))
+    fresh = absent_rows(batch.select(*columns), stored_observations(spark, path), unique)
     for _ in range(attempts):
         # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
         # count is taken from the writing stage, whose tasks count once even after a lost executor.
@@ -168,5 +178,5 @@ def append_if_absent(batch: DataFrame, path: str, attempts: int = 20) -> int:
             newer = log_entries(spark, path, version)
             version = newer[-1].version
         mine = stored_observations(spark, path, [entry]).select(*columns)
-        fresh = absent_rows(mine, stored_observations(spark, path, newer))
+        fresh = absent_rows(mine, stored_observations(spark, path, newer), unique=True)
     raise RuntimeError(f"other writers came first {attempts} times")

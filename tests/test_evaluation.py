@@ -19,7 +19,7 @@ def test_running_totals_with_keys_crowded_into_one_spot(spark):
     rows = [(k, rng.randint(0, 5)) for k in keys]
     frame = spark.createDataFrame(rows, "k double, n bigint")
     for descending in (False, True):
-        got = {r.k: r.cum_n for r in running_totals(frame, "k", ["n"], descending, 32).collect()}
+        got = {r.k: r.cum_n for r in running_totals(frame, "k", ["n"], descending).collect()}
         total, expected = 0, {}
         for k, n in sorted(rows, reverse=descending):
             total += n
@@ -27,6 +27,30 @@ def test_running_totals_with_keys_crowded_into_one_spot(spark):
         assert got == expected
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_over_the_range_of_a_double(spark, descending):
+    tiny = [5e-324, 1e-310, 2.2250738585072014e-308]
+    keys = {0.0, float("inf"), 1.7976931348623157e308, 1e16, 3.0, 7.0, 1.0 + 2**-52, *tiny}
+    keys |= {2.0**e for e in range(-40, 40)} | {2.0**e - 2.0 ** (e - 50) for e in range(-40, 40)}
+    keys |= {-k for k in keys}
+    rows = [(k, 2 * i + 1) for i, k in enumerate(keys)]
+    frame = spark.createDataFrame([*rows, (float("nan"), 1000)], "k double, n bigint")
+    total, expected = 1000 if descending else 0, []
+    for k, n in sorted(rows, reverse=descending):
+        total += n
+        expected.append((k, total))
+    got = running_totals(frame, "k", ["n"], descending).orderBy("k").collect()
+    assert got[-1].cum_n == (1000 if descending else total + 1000)  # NaN is above all numbers
+    assert [(r.k, r.cum_n) for r in got[:-1]] == sorted(expected)
+
+
+def test_running_totals_of_whole_numbers(spark):
+    frame = spark.range(-3000, 70_000, 7).selectExpr("id AS k", "1L AS n")
+    totals = running_totals(frame, "k", ["n"])
+    assert totals.where("cum_n != (k + 3000) div 7 + 1").count() == 0
+    assert totals.count() == frame.count()
+
+
 def test_running_totals_of_nothing_and_of_one(spark):
     schema = "k double, n bigint"
     assert running_totals(spark.createDataFrame([], schema), "k", ["n"]).count() == 0
