@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellhours.functions.timeslots import utc_date, utc_text
@@ -12,24 +12,26 @@ _ORDER = ["slot_start", "run_id"]
 _STAMP = "yyyy-MM-dd HH:mm"
 
 
-def health_transitions(runs: DataFrame) -> DataFrame:
+def health_transitions(runs: DataFrame, outage_since: Column | None = None) -> DataFrame:
     """One row per change between healthy and degraded, as an alert would word it.
 
     A sweep is healthy if it ended `ok`; a running one has no outcome yet. History starts out
-    healthy, a repeated bad sweep says nothing, and a first bad sweep that captured nothing is
-    urgent. Runs are walked in day blocks, so no task sees the whole audit.
+    healthy, or within an outage that began before the runs at hand, at `outage_since`. A
+    repeated bad sweep says nothing, and a first bad sweep that captured nothing is urgent. Runs
+    are walked in day blocks, so no task sees the whole audit.
     """
+    open_since = F.lit(None).cast("timestamp") if outage_since is None else outage_since
     ended = runs.filter(F.col("status") != "running").withColumn(
         "healthy", F.col("status") == "ok"
     )
     day = utc_date("slot_start")
     walked = with_previous(ended, day, _ORDER, F.col("healthy"), "_was_healthy")
     edges = walked.filter(
-        F.col("healthy") != F.coalesce(F.col("_was_healthy"), F.lit(True))
+        F.col("healthy") != F.coalesce(F.col("_was_healthy"), open_since.isNull())
     ).drop("_was_healthy")
     # Edges alternate, so a recovery's predecessor is the edge that began the outage.
     dated = with_previous(edges, day, _ORDER, F.col("slot_start"), "_edge_before")
-    since = F.when(F.col("healthy"), F.col("_edge_before")).otherwise(F.col("slot_start"))
+    since = F.when(F.col("healthy"), F.coalesce("_edge_before", open_since)).otherwise(F.col("slot_start"))
     slot = utc_text("slot_start", _STAMP)
     discs = F.concat(
         F.lit("Slot "),

@@ -11,7 +11,7 @@ from cellhours.sources.observations import stored_observations
 from cellhours.sources.runs import run_state
 from cellhours.streaming.capture import snapshot_stream, start_capture
 from cellhours.streaming.cells import start_cell_hourly
-from cellhours.streaming.health import start_health
+from cellhours.streaming.health import emit_new_edges, start_health
 from tests.conftest import T0, observations, report, traffic
 from tests.test_store import run_log, run_row
 
@@ -113,3 +113,46 @@ def test_edges_arrive_once(spark, tmp_path):
     got = run(rows[2:]).collect()
     expected = health_transitions(run_state(run_log(spark, rows))).orderBy("slot_start").collect()
     assert got == expected and len(got) == 3
+
+
+def test_edges_over_days_equal_the_batch_and_read_one_state(spark, tmp_path):
+    """Batches of a day or two, replays, and a sweep that ends days late."""
+    log, alerts = str(tmp_path / "log"), str(tmp_path / "alerts")
+    outcome = {5: "failed", 6: "partial", 30: "ok", 31: "failed", 80: "failed", 103: "ok"}
+    records = []
+    for hour in range(0, 110, 1):
+        status = outcome.get(hour, "failed" if 31 < hour < 103 or 6 < hour < 30 else "ok")
+        good = 18 if status == "ok" else 0
+        records.append(run_row(f"r{hour:03d}", hour, "running", 0, seq=0, finished=False))
+        records.append(run_row(f"r{hour:03d}", hour, status, good, seq=1))
+    late = [r for r in records if r[1] == "r050" and r[0] == 1]
+    rest = [r for r in records if r not in late]
+    cuts = [0, 20, 60, 61, 130, len(rest)]
+    batches = [rest[a:b] for a, b in zip(cuts, cuts[1:])]
+    for part in [*batches, batches[2], late, late]:
+        emit_new_edges(run_log(spark, part), log, alerts)
+    got = spark.read.parquet(alerts).orderBy("slot_start").collect()
+    batch = health_transitions(run_state(run_log(spark, records)))
+    assert got == batch.orderBy("slot_start").collect() and len(got) == 4
+    since = {r.degraded_since for r in got if r.transition == "recovered"}
+    assert since == {r.slot_start for r in got if r.transition == "degraded"}
+    days = {str(r.slot_date): r.outage_since for r in spark.read.parquet(f"{log}_days").collect()}
+    assert len(days) == 5 and days["2026-10-05"] is None
+    assert days["2026-10-01"] == got[0].slot_start and days["2026-10-04"] == got[2].slot_start
+
+
+def test_edges_of_a_day_do_not_read_the_days_before(spark, tmp_path):
+    """The log of the earlier days is gone; the state at their end is enough."""
+    log, alerts = str(tmp_path / "log"), str(tmp_path / "alerts")
+    emit_new_edges(run_log(spark, [run_row("a", 3, "failed", 0)]), log, alerts)
+    (tmp_path / "log" / "slot_date=2026-10-01").rename(tmp_path / "put-away")
+    emit_new_edges(run_log(spark, [run_row("b", 30, "partial", 9), run_row("c", 31, "ok")]), log, alerts)
+    last = spark.read.parquet(alerts).orderBy("slot_start").collect()
+    assert [r.transition for r in last] == ["degraded", "recovered"]
+    assert last[1].degraded_since == last[0].slot_start
+
+
+def test_an_empty_batch_of_records_changes_nothing(spark, tmp_path):
+    log, alerts = tmp_path / "log", tmp_path / "alerts"
+    emit_new_edges(run_log(spark, []), str(log), str(alerts))
+    assert not log.exists() and not alerts.exists()
