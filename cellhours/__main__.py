@@ -2,7 +2,9 @@
 
     features       rebuild, check and publish the feature table
     capture        take landed feed answers into the report table, as a stream
-    import-landed  the same at once, for answers landed as text
+    stream-cells   cell hours of what lands, as a stream
+    repair-cells   compute the cell hours again that late reports reopened
+    import-landed  take in at once what was landed as text
     import-legacy  bring the earlier Parquet history into the report table
     report         coverage gaps, completeness and sweep health
     clean          delete feature folders that no recent build needs
@@ -32,6 +34,8 @@ from cellhours.sources.runs import recent_runs, run_state, runs_by_status
 from cellhours.sources.scratch import materialise
 from cellhours.sources.snapshots import broken_answers, flatten_snapshots, parse_bodies
 from cellhours.streaming.capture import snapshot_stream, start_capture
+from cellhours.streaming.cells import start_cell_hourly
+from cellhours.streaming.reopened import repair_cell_hours
 
 logger = logging.getLogger("cellhours")
 
@@ -69,11 +73,28 @@ def features(spark: SparkSession, args: argparse.Namespace) -> int:
 def capture(spark: SparkSession, args: argparse.Namespace) -> int:
     """Take in what has landed since the last run, or go on doing so."""
     stream = snapshot_stream(spark, args.landing)
-    query = start_capture(stream, args.observations, args.checkpoint, continuous=args.every)
+    query = start_capture(
+        stream, args.observations, args.checkpoint, continuous=args.every, late=args.late
+    )
+    query.awaitTermination()
+    return 0
+
+
+def stream_cells(spark: SparkSession, args: argparse.Namespace) -> int:
+    reports = flatten_snapshots(snapshot_stream(spark, args.landing))
+    query = start_cell_hourly(
+        reports, args.cell_hours, args.checkpoint, continuous=args.every
+    )
     query.awaitTermination()
     return 0
 
 
+def repair_cells(spark: SparkSession, args: argparse.Namespace) -> int:
+    count = repair_cell_hours(spark, args.observations, args.late, args.repairs)
+    logger.info("%d cell hours were computed again", count)
+    return 0
+
+
 def import_landed(spark: SparkSession, args: argparse.Namespace) -> int:
     """Answers landed as text, all at once: reports into the table, broken answers on the log."""
     landed = parse_bodies(spark.read.schema(LANDED_TEXT).json(args.landing))
@@ -144,9 +165,23 @@ def parser() -> argparse.ArgumentParser:
     take.add_argument("--landing", required=True, help="folder of landed answers (JSON lines)")
     take.add_argument("--observations", required=True, help="raw report table")
     take.add_argument("--checkpoint", required=True, help="folder of the stream's progress")
+    take.add_argument("--late", help="folder that notes the cell hours of late reports")
     take.add_argument("--every", help="interval to go on at (default: stop when all is taken in)")
     take.set_defaults(job=capture)
 
+    flow = jobs.add_parser("stream-cells")
+    flow.add_argument("--landing", required=True, help="folder of landed answers (JSON lines)")
+    flow.add_argument("--cell-hours", required=True, help="table of the cell hours")
+    flow.add_argument("--checkpoint", required=True, help="folder of the stream's progress")
+    flow.add_argument("--every", help="interval to go on at (default: stop when all is taken in)")
+    flow.set_defaults(job=stream_cells)
+
+    mend = jobs.add_parser("repair-cells")
+    mend.add_argument("--observations", required=True, help="raw report table")
+    mend.add_argument("--late", required=True, help="folder that the capture notes late hours in")
+    mend.add_argument("--repairs", required=True, help="table of the repaired cell hours")
+    mend.set_defaults(job=repair_cells)
+
     landed = jobs.add_parser("import-landed")
     landed.add_argument("--landing", required=True, help="answers as text in JSON lines")
     landed.add_argument("--observations", required=True, help="raw report table")

@@ -834,10 +834,11 @@ FROM features""",
 for _name in ("stream_capture", "stream_capture_late"):
     _add(_name, "fan", also=_FEED, sql=f"SELECT {FULL_OBS} FROM feed_reports")
 _add("stream_health", "runs", also={"edges": EDGES}, sql=_EDGE_ROWS)
-_add(
-    "stream_cell_hourly",
-    "cells",
-    sql=f"""
+for _name in ("stream_cell_hourly", "stream_cells_repaired"):
+    _add(
+        _name,
+        "cells",
+        sql=f"""
 SELECT {CELL_COLUMNS} FROM cells
 WHERE slot_start + INTERVAL 1 HOUR <= (SELECT max(observed_at) FROM cruise) - INTERVAL 20 MINUTE""",
-)
+    )

@@ -38,6 +38,7 @@ from cellhours.sources import observations as store
 from cellhours.sources.scratch import materialise, run_folder
 from cellhours.streaming import capture, health as health_stream
 from cellhours.streaming import cells as cell_stream
+from cellhours.streaming import reopened
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -715,6 +716,29 @@ def stream_cell_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).select(*KEYS, *CELL_VALUES)
 
 
+@query
+def stream_cells_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed cell hours after a repair: some aircraft of the first days are reported at the end."""
+    source, table, hours, late, repairs = (
+        run_folder(spark, name)
+        for name in ("arriving", "observations", "cell-hours", "late", "repairs")
+    )
+    states = run_folder(spark, "cells-state"), run_folder(spark, "capture-state")
+    reports = _obs(spark, sf_dir)
+    behind = (F.col(SLOT) < F.lit(READ_FROM)) & F.col("hex").endswith("_7")
+    for batch in (
+        reports.filter((F.col(SLOT) < F.lit(READ_TO)) & ~behind),
+        reports.filter(F.col(SLOT) >= F.lit(READ_TO)),
+        reports.filter(behind),
+    ):
+        batch.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(reports.schema).parquet(source)
+        cell_stream.start_cell_hourly(stream, hours, states[0]).awaitTermination()
+        capture.start_reports(stream, table, states[1], late=late).awaitTermination()
+    reopened.repair_cell_hours(spark, table, late, repairs)
+    return reopened.read_cell_hours(spark, hours, repairs).select(*KEYS, *CELL_VALUES)
+
+
 @query
 def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run records streamed through the alert rules, then replayed."""

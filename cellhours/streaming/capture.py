@@ -9,6 +9,7 @@ from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.schemas import SNAPSHOT
 from cellhours.sources.observations import append_if_absent
 from cellhours.sources.snapshots import flatten_snapshots
+from cellhours.streaming.reopened import note_late
 
 
 def snapshot_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -25,19 +26,35 @@ def start_capture(
     checkpoint: str,
     rules: Rules = DEFAULT_RULES,
     continuous: str | None = None,
+    late: str | None = None,
 ) -> StreamingQuery:
-    """Append every new report of a stream of feed answers.
+    """Append every new report of a stream of feed answers, see `start_reports`."""
+    reports = flatten_snapshots(envelopes, rules=rules)
+    return start_reports(reports, table, checkpoint, rules, continuous, late)
+
+
+def start_reports(
+    reports: DataFrame,
+    table: str,
+    checkpoint: str,
+    rules: Rules = DEFAULT_RULES,
+    continuous: str | None = None,
+    late: str | None = None,
+) -> StreamingQuery:
+    """Append every new report of a stream.
 
     No watermark and no state: the sink keeps one row per key of a batch and skips stored keys,
     so a report of any lateness is kept, a replayed batch adds nothing, and how files are dealt
-    to triggers does not matter. One writer at a time, as for `append_if_absent`.
+    to triggers does not matter. Where a folder `late` is named, the cell hours that a batch
+    reaches after their end are noted there, once its reports are stored.
     """
-    reports = flatten_snapshots(envelopes, rules=rules)
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.persist()  # the sink looks at the batch twice
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the sink looks at the batch more than once
         try:
             append_if_absent(batch, table)
+            if late:
+                note_late(batch, batch_id, late, rules)
         finally:
             batch.unpersist()
 

@@ -22,7 +22,8 @@ def stream_cell_hourly(observations: DataFrame, rules: Rules = DEFAULT_RULES) ->
     """Cell hours of a report stream, in append mode.
 
     First one row per (hour, cell, aircraft), then one per (hour, cell). A row is emitted when
-    the watermark, one sweep deadline behind the newest report, passes the end of its hour.
+    the watermark, one sweep deadline behind the newest report, passes the end of its hour. What
+    comes later is dropped here and left to `streaming.reopened`.
     """
     width = f"{rules.slot_minutes} minutes"
     needed = cruise_filter(observations, rules).select(
