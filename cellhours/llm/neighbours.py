@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from cellhours.sources.scratch import materialise
 
 BLOCK = 4096  # rows of either side that a task compares at a time
+BRANCH = 64  # partitions that one router tells apart at most
+ROUTED = 65_536  # rows that a task sends through a router at a time
 
 
 @dataclass(frozen=True)
@@ -28,6 +30,11 @@ class Router:
         return np.argsort(-(units @ self.weights + self.bias), axis=1, kind="stable")
 
 
+def parts_of(points: float) -> int:
+    """A power of two of partitions with some 256 points each, as far as one router goes."""
+    return min(BRANCH, max(4, 1 << int(math.log2(max(1, points / 256)))))
+
+
 def nearest(units: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k nearest of `others` for each row, unordered, in blocks."""
     k = min(k, len(others))
@@ -184,12 +191,16 @@ def nearest_neighbours(
     most_sampled: int = 8192,
     recall: float = 0.965,
     partitions: int | None = None,
+    most_rows: int = 16_384,
 ) -> DataFrame:
     """The k nearest rows by cosine of each row whose id is divisible by `every`.
 
     Returns query_id, rank (from 1), vec_id, score. All rows are indexed; only the router is
-    fitted on a sample of at most about `most_sampled` distinct vectors, taken by hash. Equal
-    vectors are one point of the index, so a vector with very many copies costs as much as any
+    fitted on a sample of at most about `most_sampled` distinct vectors, taken by hash. Where the
+    partitions would hold more than `most_rows` points, each such one is cut again, by a router of
+    its own that is fitted on a sample of it, level by level: the points that a query meets stay in
+    proportion to what it probes and not to the table. `recall` is what all levels together aim at.
+    Equal vectors are one point of the index, so a vector with very many copies costs as much as any
     other, and of each point the k + 1 smallest ids are candidates. Ties go to the smaller id,
     also between parallel vectors, of which no number is left out. A query whose partitions hold
     fewer than k candidates goes on to all others.
@@ -224,7 +235,11 @@ def nearest_neighbours(
     )
     points = materialise(points, "ann-points")
     total = points.count()
-    parts = partitions or min(64, max(4, 1 << int(math.log2(max(1, total / 256)))))
+    parts = partitions or parts_of(total)
+    levels, size = 0, total / parts  # levels beyond the first
+    while size > most_rows:
+        levels, size = levels + 1, size / parts_of(size)
+    aim = recall ** (1 / (levels + 1))
     share = min(1.0, most_sampled / max(1, total))
     sampled = points.where(
         F.pmod(F.xxhash64("point", F.lit("sample")), F.lit(1_000_000)) < math.ceil(share * 1_000_000)
@@ -235,7 +250,7 @@ def nearest_neighbours(
             [], "query_id bigint, rank int, vec_id bigint, score double"
         )
     units = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    router = fit_router(units, parts, k, recall)
+    router = fit_router(units, parts, k, aim)
 
     def route(probes: int):  # noqa: ANN202
         @F.pandas_udf("array<int>")
@@ -247,7 +262,7 @@ def nearest_neighbours(
         return routed("v")
 
     base = materialise(
-        points.select("point", "v", "ids", route(1)[0].alias("part")), "ann-base"
+        points.select("point", "v", "ids", route(1)[0].cast("bigint").alias("part")), "ann-base"
     )
     askers = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     askers = askers.groupBy("vec_id").agg(F.min("point").alias("point")).join(points, "point")
@@ -256,20 +271,23 @@ def nearest_neighbours(
         "ann-askers",
     )
 
-    def asked(who: DataFrame, first: int, count: int) -> DataFrame:
-        """A row per question and partition, `count` partitions from the `first` on."""
-        some = F.slice("order", first, count)
-        return materialise(who.select("query_id", "v", F.explode(some).alias("part")), "ann-asked")
-    found = materialise(_search(base, asked(askers, 1, router.probes), parts, k), "ann-found")
+    probed = F.explode(F.slice("order", 1, router.probes).cast("array<bigint>")).alias("part")
+    asked = materialise(askers.select("query_id", "v", probed), "ann-asked")
+    for _ in range(levels):
+        base, asked = _split(base, asked, k, aim, most_rows, most_sampled)
+    found = materialise(_search(base, asked, k), "ann-found")
     ids = points.select(F.explode("ids").alias("id")).distinct().limit(k + 1).count()
-    if router.probes < parts:
+    if router.probes < parts or levels:
         # Questions whose partitions hold too few candidates go on to all others.
         enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n"))
         enough = enough.where(F.col("n") >= min(k, ids - 1))
         short = materialise(askers.join(enough, "query_id", "left_anti"), "ann-short")
         if not short.isEmpty():
-            rest = asked(short, router.probes + 1, parts)
-            found = found.unionByName(_search(base, rest, parts, k))
+            leaves = base.select("part", F.expr(f"part div {BRANCH**levels}").alias("top"))
+            top = F.explode(F.col("order").cast("array<bigint>")).alias("top")
+            rest = short.select("query_id", "v", top).join(leaves.distinct(), "top").drop("top")
+            rest = rest.join(asked.select("query_id", "part"), ["query_id", "part"], "left_anti")
+            found = found.unionByName(_search(base, materialise(rest, "ann-rest"), k))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.groupBy("query_id", "vec_id")
@@ -280,30 +298,96 @@ def nearest_neighbours(
     )
 
 
-def _search(base: DataFrame, asked: DataFrame, parts: int, k: int) -> DataFrame:
+def _units(v: pd.Series) -> np.ndarray:
+    rows = scaled(np.stack(v.to_list()).astype(float))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def _split(
+    base: DataFrame, asked: DataFrame, k: int, recall: float, most_rows: int, most_sampled: int
+) -> tuple[DataFrame, DataFrame]:
+    """One more level: partition p becomes BRANCH * p, or from there on one of its own partitions.
+
+    A partition of more than `most_rows` points has a router fitted in a task of its own, on about
+    `most_sampled` of its points at most. Points and questions go through it in blocks, so that
+    no task holds a whole partition.
+    """
+    sizes = base.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_rows)
+    sizes = materialise(sizes, "ann-large")
+    near_share = f"pmod(xxhash64(point, 'sample'), 1000000) < ceil({most_sampled} * 1e6D / n)"
+    sample = base.join(sizes, "part").where(near_share).select("part", "n", "point", "v")
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("point")
+        part, n = int(rows["part"].iloc[0]), int(rows["n"].iloc[0])
+        router = fit_router(_units(rows["v"]), parts_of(n), k, recall)
+        blocks = -(-n // ROUTED)
+        return pd.DataFrame(
+            [(part, blocks, router.weights.tobytes(), router.bias.tobytes(), router.probes)],
+            columns=["part", "blocks", "weights", "bias", "probes"],
+        )
+
+    routers = sample.groupBy("part").applyInPandas(
+        fit, "part bigint, blocks int, weights binary, bias binary, probes int"
+    )
+    routers = materialise(routers, "ann-routers")
+    copies = routers.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+
+    def descend(rows: DataFrame, spread: str, probes: int | None) -> DataFrame:
+        """Each row in the partitions below its own: the `probes` most probable, None: the router's."""
+        columns = rows.columns
+
+        def send(some: pd.DataFrame, by: pd.DataFrame) -> pd.DataFrame:
+            if some.empty:
+                return some[columns]
+            units, r = _units(some["v"]), by.iloc[0]
+            weights = np.frombuffer(r["weights"]).reshape(units.shape[1], -1)
+            router = Router(weights, np.frombuffer(r["bias"]), int(r["probes"]))
+            below = router.order(units)[:, : probes or router.probes]
+            out = some[columns].iloc[np.repeat(np.arange(len(some)), below.shape[1])]
+            return out.assign(part=out["part"] * BRANCH + below.ravel())
+
+        key = ["part", "block"]
+        large = rows.join(routers.select("part", "blocks"), "part").withColumn(
+            "block", F.expr(f"cast(pmod(xxhash64({spread}), blocks) AS int)")
+        )
+        sent = (
+            large.select(*columns, "block")
+            .groupBy(*key)
+            .cogroup(copies.select(*key, "weights", "bias", "probes").groupBy(*key))
+            .applyInPandas(send, rows.schema)
+        )
+        same = rows.join(routers, "part", "left_anti")
+        same = same.withColumn("part", F.col("part") * F.lit(BRANCH)).select(*columns)
+        return sent.unionByName(same)
+
+    return (
+        materialise(descend(base, "point", 1), "ann-base"),
+        materialise(descend(asked, "query_id", None), "ann-asked"),
+    )
+
+
+def _search(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score): the k best rows of each block that a query meets, not itself.
 
     The rows of a partition, and the queries sent to it, are cut into blocks of about BLOCK, and
     every pair of blocks is one group: no partition is ever in one task as a whole.
     """
 
-    def blocks(df: DataFrame) -> str:
-        sizes = dict(df.groupBy("part").count().collect())  # one row per partition
-        return f"array({', '.join(str(-(-sizes.get(p, 0) // BLOCK) or 1) for p in range(parts))})[part]"
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("part").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) AS int) AS {name}"))
 
-    rows_in, queries_in = blocks(base), blocks(asked)
-    left = base.selectExpr(
+    sizes = materialise(blocks(base, "rows_in").join(blocks(asked, "queries_in"), "part"), "ann-sizes")
+    left = base.join(sizes, "part").selectExpr(
         "*",
-        f"pmod(xxhash64(point), {rows_in}) AS block",
-        f"explode(sequence(0, {queries_in} - 1)) AS turn",
+        "cast(pmod(xxhash64(point), rows_in) AS int) AS block",
+        "explode(sequence(0, queries_in - 1)) AS turn",
     ).withColumnRenamed("v", "w")
-    right = asked.selectExpr(
+    right = asked.join(sizes, "part").selectExpr(
         "*",
-        f"pmod(xxhash64(query_id), {queries_in}) AS turn",
-        f"explode(sequence(0, {rows_in} - 1)) AS block",
+        "cast(pmod(xxhash64(query_id), queries_in) AS int) AS turn",
+        "explode(sequence(0, rows_in - 1)) AS block",
     )
-    left = left.withColumn("block", F.col("block").cast("int"))
-    right = right.withColumn("turn", F.col("turn").cast("int"))
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]

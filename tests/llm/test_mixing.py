@@ -2,9 +2,12 @@
 
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellhours.llm.mixing import mix_sources, plan
+from cellhours.llm.queries import op7_mixing
+from tests.llm.helpers import HAVE_TABLES, SF
 
 
 def fluid(blocks, weights, slot):
@@ -75,3 +78,40 @@ def test_every_source_has_its_share_beyond_255_and_null(spark):
             done[r.mix_source] += 1
             assert all(abs(done[s] - w * slot / total) < 1 for s, w in target.items()), slot
         assert slot > 301
+
+
+@pytest.mark.skipif(not HAVE_TABLES, reason="no generated tables here")
+def test_query_follows_the_fluid_schedule(spark):
+    """Each document once, in hash order in its source, whole blocks, less than one block off."""
+    order = F.xxhash64("doc_id", F.lit("mix")).alias("h")
+    rows = op7_mixing(spark, SF).select("*", order).orderBy("position").collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source").collect()
+    assert sorted((r.doc_id, str(r.source)) for r in rows) == sorted((d.doc_id, str(d.source)) for d in docs)
+    of_source = {}
+    for r in rows:
+        assert r.mix_source == r.source
+        of_source.setdefault(r.source, []).append(r)
+    for mine in of_source.values():
+        assert [r.h for r in mine] == sorted(r.h for r in mine)
+        assert [r.block for r in mine] == [i // 32 for i in range(len(mine))]
+        assert all(r.position % 32 == i % 32 for i, r in enumerate(mine))
+    blocks = {s: -(-len(mine) // 32) for s, mine in of_source.items()}
+    exact = {s: Fraction(len(mine) ** 0.5) for s, mine in of_source.items()}
+    slots = {}
+    for r in rows:
+        assert slots.setdefault(r.position // 32, (r.source, r.block)) == (r.source, r.block)
+    assert sorted(slots) == list(range(sum(blocks.values())))
+    done = dict.fromkeys(blocks, 0)
+    for slot in sorted(slots):
+        done[slots[slot][0]] += 1
+        target = fluid(blocks, exact, slot + 1)
+        assert all(abs(done[s] - target[s]) < 1 for s in blocks), slot
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    rows = [(i % 5 if i % 7 else None, f"s{i % 3}" if i % 4 else None, "x" * i, i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, Position string, key bigint")
+    out = mix_sources(docs.unionAll(docs), block_rows=2).collect()
+    assert len(out) == 120 and len({r.position for r in out}) == 120
+    assert sorted(r.key for r in out) == sorted(2 * list(range(60)))
+    assert all(r.mix_source == r.source and isinstance(r.position, int) for r in out)

@@ -198,6 +198,32 @@ def test_neighbours_of_parallel_vectors_and_small_partitions(spark):
     assert {r.vec_id for r in got if r["rank"] == 1} == {0, 1000}
 
 
+def test_neighbours_over_several_levels(spark):
+    """Partitions cut again by routers of their own: recall, and questions that find too few."""
+    pick = np.random.default_rng(8)
+    centres = pick.normal(size=(40, 16))
+    x = centres[pick.integers(0, 40, 3000)] + 0.3 * pick.normal(size=(3000, 16))
+    x = np.concatenate([x, -20 * np.ones((1, 16)), -20 * np.ones((1, 16)) + np.eye(16)[:1]])
+    ids = np.arange(1, 3003)
+    ids[-2] = 50_000
+    table = spark.createDataFrame(
+        [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id bigint, embedding array<double>"
+    )
+    got = {}
+    for r in nearest_neighbours(table, every=50, k=5, partitions=4, most_rows=60).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        cosine = units @ units[q]
+        cosine[q] = -2
+        assert sorted(got[ids[q]]) == [1, 2, 3, 4, 5]
+        best = set(ids[np.argsort(-cosine)[:5]].tolist())
+        hits, total = hits + len(best & set(got[ids[q]].values())), total + 5
+    assert len(got) == 61 and hits >= 0.9 * total
+    assert got[50_000][1] == 3002
+
+
 def test_neighbours_take_wide_rows_and_clashing_names(spark):
     pick = np.random.default_rng(4)
     rows = [(i, pick.normal(size=3000).tolist(), i, 0.5, i) for i in range(60)]
