@@ -101,6 +101,12 @@ class WordEncoder:
         return text if any(mark in lower for mark in self.marks) else lower
 
 
+@cache
+def _encoder(file: str) -> WordEncoder:
+    """One in each Python worker: what a task has learned serves those after it."""
+    return WordEncoder(file)
+
+
 def _is_latin(text: str) -> bool:
     """Whether all characters are among the first 256 codes, which no rule composes."""
     if not text.isascii():
@@ -183,7 +189,7 @@ def pieces(
     schema = StructType([*keys.drop("text").schema.fields, *starmap(StructField, new.items())])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(file)
+        encoder = _encoder(file)
         for whole in parts:
             for first in range(0, whole.num_rows, 250):
                 part = whole.slice(first, 250)
