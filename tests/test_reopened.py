@@ -7,10 +7,12 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from cellhours.__main__ import main
 from cellhours.operators.cells import cell_hourly
-from cellhours.schemas import KEYS, OBSERVATIONS
+from cellhours.schemas import KEYS, LANDED_TEXT, OBSERVATIONS
 from cellhours.sources import commits
 from cellhours.sources.observations import append_if_absent
+from cellhours.sources.snapshots import parse_bodies
 from cellhours.streaming.capture import start_reports
 from cellhours.streaming.cells import start_cell_hourly
 from cellhours.streaming.reopened import (
@@ -103,3 +105,24 @@ def test_a_batch_that_is_still_written_is_left_alone(spark, tmp_path):
     empty = spark.createDataFrame([], OBSERVATIONS)
     note_late(empty, 0, str(tmp_path / "other"))
     assert not (tmp_path / "other" / "late").exists()
+
+
+def test_jobs_from_landing_to_repair(spark, tmp_path):
+    landing, table, hours, ledger, repairs, first, second = (
+        str(tmp_path / n) for n in ("landing", "table", "hours", "late", "repairs", "s1", "s2")
+    )
+    for hour, tag in [(0, "a"), (5, "a"), (0, "b"), (9, "a")]:
+        planes = ", ".join(
+            '{"hex": "%s%d", "lat": 52.0, "lon": 10.0, "alt_baro": 35000, "nic": 9}' % (tag, i)
+            for i in range(6)
+        )
+        row = (T0 + timedelta(hours=hour), "d0", False, "run", '{"now": 1, "ac": [%s]}' % planes)
+        answers = parse_bodies(spark.createDataFrame([row], LANDED_TEXT)).drop("broken")
+        answers.write.mode("append").json(landing)
+        where = ["--landing", landing, "--checkpoint"]
+        assert main(["stream-cells", *where, first, "--cell-hours", hours]) == 0
+        assert main(["capture", *where, second, "--observations", table, "--late", ledger]) == 0
+    mend = ["repair-cells", "--observations", table, "--late", ledger, "--repairs", repairs]
+    assert main(mend) == 0 and main(mend) == 0
+    counts = {h: r.aircraft_count for (_, h), r in by_key(read_cell_hours(spark, hours, repairs)).items()}
+    assert counts == {0: 12, 5: 6}
