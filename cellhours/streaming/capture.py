@@ -7,7 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.schemas import SNAPSHOT
+from cellhours.sources.commits import remove
 from cellhours.sources.observations import append_if_absent
+from cellhours.sources.scratch import run_folder
 from cellhours.sources.snapshots import flatten_snapshots
 from cellhours.streaming.reopened import note_late
 
@@ -50,13 +52,18 @@ def start_reports(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # the sink looks at the batch more than once
+        # The sink looks at the batch more than once. As Parquet it takes a fraction of the disk
+        # that a cache would, and a look reads its own columns only.
+        spark = batch.sparkSession
+        folder = run_folder(spark, "capture")
+        batch.write.parquet(folder)
         try:
-            append_if_absent(batch, table)
+            rows = spark.read.schema(batch.schema).parquet(folder)
+            append_if_absent(rows, table)
             if late:
-                note_late(batch, batch_id, late, rules)
+                note_late(rows, batch_id, late, rules)
         finally:
-            batch.unpersist()
+            remove(spark, folder)
 
     writer = reports.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
