@@ -118,7 +118,7 @@ def import_legacy(spark: SparkSession, args: argparse.Namespace) -> int:
     summary = legacy.import_summary(rows, stored).first().asDict()
     logger.info("history holds %s", summary)
     if not args.dry_run:
-        added = append_if_absent(rows, args.observations, unique=True)
+        added = append_if_absent(rows, args.observations)
         logger.info("%d rows were new to the table", added)
     return 0
 

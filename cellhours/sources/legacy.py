@@ -86,4 +86,5 @@ def import_legacy(
     """Load, reshape and append; running it again adds nothing. Returns the rows added."""
     if dry_run:
         return 0
-    return append_if_absent(staged_history(spark, root, rules), path, unique=True)
+    history = reshape_legacy(load_legacy(spark, root), rules)
+    return append_if_absent(history, path, order=("nic",))  # of a key the worst NIC

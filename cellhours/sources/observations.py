@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -14,7 +15,16 @@ from pyspark.sql.types import StructType
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.functions.timeslots import utc_date
 from cellhours.operators.cells import cell_hourly
-from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS
+from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS, SLOT
+from cellhours.sources.appends import (
+    DATE,
+    ROWS_PER_TASK,
+    absent_rows,
+    null_safe_days,
+    only_slots,
+    slot_digests,
+    slots_with_news,
+)
 from cellhours.sources.commits import (
     COMMIT,
     Entry,
@@ -25,8 +35,8 @@ from cellhours.sources.commits import (
     remove,
     stage,
 )
+from cellhours.sources.scratch import materialise
 
-DATE = "slot_date"
 READ_COLUMNS = [f.name for f in OBSERVATIONS.fields if f.name != "ingest_run_id"]
 
 
@@ -134,49 +144,82 @@ def stored_keys(batch: DataFrame, existing: DataFrame) -> tuple[DataFrame, Colum
     return keys, same
 
 
-def absent_rows(batch: DataFrame, existing: DataFrame, unique: bool = False) -> DataFrame:
-    """Rows of the batch, one per key, whose key is not stored yet.
+def _dates_held(spark: SparkSession, path: str, entries: list[Entry], whole: bool) -> set[str]:
+    """Names of the date folders that some commits, or the whole table, may have rows in."""
+    held = {p for e in entries for p in e.parts}
+    if whole:
+        held |= {n.split("=", 1)[1] for n in children(spark, path) if n.startswith(f"{DATE}=")}
+    return held
 
-    `unique` says that the batch has one row per key already.
-    """
-    fresh = batch if unique else first_per_key(batch)
-    return fresh.join(*stored_keys(batch, existing), "left_anti")
+
+def _stage_absent(
+    batch: DataFrame, path: str, entries: list[Entry], whole: bool, order: tuple[str, ...]
+) -> tuple[str, tuple[str, ...], int] | None:
+    """Stage the rows of a batch whose key those commits lack; None if there is no such row."""
+    spark = batch.sparkSession
+    mine = materialise(slot_digests(batch), "append-slots")  # a row per hour
+    day = utc_date(SLOT).cast("string")
+    days = [r[0] for r in mine.select(day).distinct().collect()]  # a row per date
+    held = _dates_held(spark, path, entries, whole)
+    shared = [d for d in days if d is None or d in held] if held else []
+    existing = theirs = None
+    if shared:
+        stored = stored_observations(spark, path, None if whole else entries)
+        existing = stored.filter(null_safe_days(shared)).select(*OBSERVATION_KEY, DATE)
+        theirs = slot_digests(existing)
+    news = materialise(slots_with_news(mine, theirs), "append-news")
+    totals = (
+        news.groupBy(day.alias("day"))
+        .agg(F.sum("_rows").alias("rows"), F.max("_stored").alias("stored"))
+        .collect()
+    )
+    if not totals:
+        return None
+    keys = None
+    if mixed := [r.day for r in totals if r.stored]:
+        keys = only_slots(existing.filter(null_safe_days(mixed)), news.filter("_stored"))
+    rows = only_slots(batch, news) if shared else batch
+    tasks = math.ceil(sum(r.rows for r in totals) / ROWS_PER_TASK)
+    parts = math.ceil(max(r.rows for r in totals) / ROWS_PER_TASK)
+    # The row count is taken from the writing stage, whose tasks count once even after a lost
+    # executor.
+    written = Observation()
+    fresh = absent_rows(rows, keys, tasks, parts, order)
+    counted = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
+    commit_id, dates = stage(counted, path, DATE)
+    count = int(written.get["rows"])
+    if not count:
+        remove(spark, f"{path}/{COMMIT}={commit_id}")
+        return None
+    return commit_id, dates, count
 
 
 def append_if_absent(
-    batch: DataFrame, path: str, attempts: int = 20, unique: bool = False
+    batch: DataFrame, path: str, attempts: int = 20, order: tuple[str, ...] = ()
 ) -> int:
     """Append the rows whose key is new; returns how many. Replaying a batch adds nothing.
 
-    A NULL in a key equals a NULL. Any number of writers may append at a time: a commit that
-    another one came before is checked against that one's rows, if both hold a date, and tried
-    again behind it.
+    Of several rows of a key the smallest by `order`, then by the other columns, is taken. A NULL
+    in a key equals a NULL. Any number of writers may append at a time: a commit that another one
+    came before is checked against that one's rows, if both hold a date, and tried again behind it.
     """
     spark = batch.sparkSession
-    columns = [f.name for f in OBSERVATIONS.fields]
+    rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in OBSERVATIONS.fields])
     known = log_entries(spark, path)
     version = known[-1].version if known else 0
-    fresh = absent_rows(batch.select(*columns), stored_observations(spark, path), unique)
+    staged = _stage_absent(rows, path, known, True, order)
     for _ in range(attempts):
-        # Rebalancing keeps files large, and splits a date that holds most of the batch. The row
-        # count is taken from the writing stage, whose tasks count once even after a lost executor.
-        dated = fresh.withColumn(DATE, utc_date("slot_start"))
-        written = Observation()
-        balanced = dated.hint("rebalance", F.col(DATE)).observe(
-            written, F.count(F.lit(1)).alias("rows")
-        )
-        commit_id, dates = stage(balanced, path, DATE)
-        rows = int(written.get["rows"])
-        if not rows:
-            remove(spark, f"{path}/{COMMIT}={commit_id}")
+        if staged is None:
             return 0
+        commit_id, dates, count = staged
         newer: list[Entry] = []
         while not any(set(e.parts) & set(dates) for e in newer):
-            entry = Entry(version + 1, commit_id, rows, dates)
+            entry = Entry(version + 1, commit_id, count, dates)
             if publish(spark, path, entry):
-                return rows
+                return count
             newer = log_entries(spark, path, version)
             version = newer[-1].version
-        mine = stored_observations(spark, path, [entry]).select(*columns)
-        fresh = absent_rows(mine, stored_observations(spark, path, newer), unique=True)
+        mine = stored_observations(spark, path, [entry]).select(*OBSERVATIONS.names)
+        staged = _stage_absent(mine, path, newer, False, order)
+        remove(spark, f"{path}/{COMMIT}={commit_id}")  # in no entry, so nobody reads it
     raise RuntimeError(f"other writers came first {attempts} times")
