@@ -100,15 +100,19 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of strings of 400 bytes that occur again."""
+    """Every document without the bytes of strings of 400 bytes that occur again.
+
+    A passage of over 50 words may be shorter than that and stays; `shares_passage` tells of it.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, length=400).select(
+    return remove_repeats(docs, length=400, words=51).select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         (F.size("removed") > 0).alias("has_repeat"),
+        "shares_passage",
     )
 
 

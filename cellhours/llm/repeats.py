@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
     IntegerType,
     LongType,
     StructField,
@@ -37,15 +38,16 @@ from cellhours.llm.common import fresh_name, with_fields
 from cellhours.sources.scratch import materialise
 
 GRAM = 64
+WORD_GRAM = 32
 _STEP = 0x9E3779B97F4A7C15
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Rolling hash of the GRAM bytes from each place on, by doubling; GRAM is a power of two."""
-    hashes, width, step = data.astype(np.uint64) + np.uint64(1), 1, _STEP
-    while width < GRAM:
-        hashes = hashes[:-width] * np.uint64(step) + hashes[width:]
-        width, step = 2 * width, step * step % (1 << 64)
+def gram_hashes(data: np.ndarray, width: int = GRAM) -> np.ndarray:
+    """Rolling hash of the `width` items from each place on, by doubling; a power of two."""
+    hashes, have, step = data.astype(np.uint64) + np.uint64(1), 1, _STEP
+    while have < width:
+        hashes = hashes[:-have] * np.uint64(step) + hashes[have:]
+        have, step = 2 * have, step * step % (1 << 64)
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(29)
@@ -88,6 +90,20 @@ def anchors(data: bytes, length: int) -> tuple[list[int], np.ndarray, list[int]]
     return places, hashes[places].view(np.int64), around
 
 
+def passage_marks(data: bytes, words: int) -> np.ndarray:
+    """Least gram hash of every passage of `words` words in a text, each hash once.
+
+    Words stand between ASCII white space, grams are WORD_GRAM words. Equal passages have equal
+    marks, and texts with a common mark have at least a gram in common.
+    """
+    found = data.split()
+    if len(found) < words:
+        return np.zeros(0, np.int64)
+    digests = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    hashes = gram_hashes(digests, WORD_GRAM)
+    return np.unique(window_minima(hashes, words - WORD_GRAM + 1)).view(np.int64)
+
+
 def repeat_extents(
     left: list[bytes], right: list[bytes], copies: list[int], length: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -213,6 +229,26 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("row_id", "text_key", "body").mapInArrow(batches, schema)
 
 
+def _sharing_texts(docs: DataFrame, words: int) -> DataFrame:
+    """`text_key`s of the texts with a mark that another row has too."""
+    names = ["text_key", "mark"]
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keys, texts = (c.to_pylist() for c in part.columns)
+            marks = [passage_marks(text, words) for text in texts]
+            at = np.repeat(np.asarray(keys, np.int64), [len(m) for m in marks])
+            found = np.concatenate([np.zeros(0, np.int64), *marks])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found)], names)
+
+    rows = docs.select("text_key", "body").mapInArrow(batches, "text_key bigint, mark bigint")
+    marks = materialise(rows, "repeats-marks")
+    again = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written first, like the grams: a frequent mark can then be split in the join.
+    again = materialise(again.select("mark"), "repeats-marks-again")
+    return marks.join(again, "mark", "left_semi").select("text_key").distinct()
+
+
 def _one_of_each(docs: DataFrame) -> DataFrame:
     """Rows with equal row_id and text_key once; their bodies are only shuffled if there are any."""
     keys = ["row_id", "text_key"]
@@ -383,6 +419,7 @@ def remove_repeats(
     text: str = "text",
     length: int = 400,
     most: int = 20_000,
+    words: int | None = None,
 ) -> DataFrame:
     """Every row of `docs`, with the bytes that belong to repeated strings taken out of its text.
 
@@ -393,13 +430,19 @@ def remove_repeats(
     split a character). A NULL text counts as empty, and so stays whole like every text shorter
     than `length`. Rows with equal texts lose all of it, equal ids included. Input columns called
     like a new one are replaced. `most`: contexts of a bucket that one task may sort.
+
+    With `words` there is a column `shares_passage` besides, which takes nothing out: true for every
+    row that has a passage of so many words in common with another row, however few bytes that is,
+    and for none that has less than WORD_GRAM words in a row in common with any.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
-    new = {"n_bytes", "removed", "kept"}
+    if words is not None and words < WORD_GRAM:
+        raise ValueError(f"words must be at least {WORD_GRAM}")
+    new = {"n_bytes", "removed", "kept"} | (set() if words is None else {"shares_passage"})
     others = [c for c in docs.columns if c != text and c.lower() not in new]
-    body, row_id, key, found = (
-        fresh_name(docs, n) for n in ("body", "row_id", "text_key", "spans")
+    body, row_id, key, found, shares = (
+        fresh_name(docs, n) for n in ("body", "row_id", "text_key", "spans", "shares")
     )
     bodies = (
         docs.withColumn(body, F.coalesce(F.col(text), F.lit("")).cast("binary"))
@@ -453,7 +496,21 @@ def remove_repeats(
         [row_id, key],
         "left",
     )
-    names = [*others, "n_bytes", "removed", "kept"]
+    verdict = {}
+    if words is not None:
+        verdict["shares_passage"] = BooleanType()
+        # Keyed like the spans, so the texts are not dealt out once more.
+        sharing = plain.select("row_id", "text_key").join(
+            _sharing_texts(plain, words), "text_key", "left_semi"
+        )
+        joined = joined.join(
+            sharing.distinct().select(
+                F.col("row_id").alias(row_id), F.col("text_key").alias(key), F.lit(True).alias(shares)
+            ),
+            [row_id, key],
+            "left",
+        ).withColumn(shares, F.coalesce(shares, F.lit(False)))
+    names = [*others, *verdict, "n_bytes", "removed", "kept"]
     run_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,6 +538,7 @@ def remove_repeats(
 
     run = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
     schema = with_fields(
-        docs, others, n_bytes=LongType(), removed=ArrayType(run), kept=BinaryType()
+        docs, others, **verdict, n_bytes=LongType(), removed=ArrayType(run), kept=BinaryType()
     )
-    return joined.select(body, found, *others).mapInArrow(cut, schema)
+    passed = [*others, shares] if verdict else others
+    return joined.select(body, found, *passed).mapInArrow(cut, schema)

@@ -1,10 +1,11 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
 from cellhours.llm.queries import op9_repeats
-from cellhours.llm.repeats import remove_repeats, repeat_extents
+from cellhours.llm.repeats import WORD_GRAM, remove_repeats, repeat_extents
 from tests.llm.helpers import DOCS, HAVE_TABLES, SF, collect, documents
 
 
@@ -89,6 +90,57 @@ def test_extents_of_nested_repeats():
     assert list(zip(back, ahead, strict=True)) == [(2, 10), (2, 7), (1, 10), (0, 0)]
 
 
+def plain_sharing(texts, words):
+    """Whether a passage of `words` words of each text is in another one too."""
+    grams = [
+        {tuple(w[i : i + words]) for i in range(len(w) - words + 1)}
+        for w in (t.encode().split() for t in texts)
+    ]
+    held = Counter(gram for of_text in grams for gram in of_text)
+    return [any(held[gram] > 1 for gram in of_text) for of_text in grams]
+
+
+def test_short_passages_are_told_of_and_stay(spark):
+    """51 common words of under 400 bytes: nothing is taken out, both rows say so."""
+    pick = random.Random(4)
+
+    def some(n):
+        return ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+    passage, once = some(51), some(60)
+    texts = [
+        " ".join([*some(70), *passage, *some(9)]),
+        " ".join(some(33)) + "\n" + "\t".join(passage),  # other white space, the same words
+        " ".join([*some(30), *passage[:31], *some(30)]),  # less than a gram in common
+        " ".join([*once, *once]),  # repeats itself only
+        " ".join(passage[:50]),  # no passage of 51 words
+        " ".join(some(200)),
+        "",
+        None,
+        *2 * [" ".join(some(55))],
+    ]
+    assert len(" ".join(passage)) < 400
+    found = collect(remove_repeats(documents(spark, texts), length=400, words=51))
+    got = [found[i].shares_passage for i in range(len(texts))]
+    assert got == plain_sharing([t or "" for t in texts], 51)
+    assert got == [True, True, *6 * [False], True, True]
+    assert [bool(found[i].removed) for i in (0, 1)] == [False, False]
+    with pytest.raises(ValueError, match="words"):
+        remove_repeats(documents(spark, texts), words=10)
+
+
+@pytest.mark.skipif(not HAVE_TABLES, reason="no generated tables here")
+def test_query_tells_of_all_passages_of_over_50_words(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    texts = [r.text or "" for r in rows]
+    out = collect(op9_repeats(spark, SF))
+    assert any(plain_sharing(texts, 51))
+    for row, sure, may in zip(
+        rows, plain_sharing(texts, 51), plain_sharing(texts, WORD_GRAM), strict=True
+    ):
+        assert sure <= out[row.doc_id].shares_passage <= may
+
+
 def test_odd_rows(spark):
     text = "abcdefghij" * 12
     rows = [(None, text, "x", "y", 1), (None, text, "x", "y", 1), (5, text[3:], "x", "y", 2)]
