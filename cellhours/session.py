@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # The files of an exchange go with the query that wrote them, not with the driver's next
+    # garbage collection.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Counting the stored rows would look every key up again at each write and each removal.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }

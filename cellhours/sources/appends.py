@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellhours.functions.timeslots import slot_floor, utc_date
@@ -19,6 +19,8 @@ from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS, SLOT
 
 DATE = "slot_date"
 ROWS_PER_TASK = 400_000
+# How reports are written. Nearly every time is a new one, so a dictionary of them is built in vain.
+REPORT_FILES = {"compression": "zstd", "parquet.enable.dictionary#observed_at": "false"}
 _PART = "_part"
 _STORED = "_stored"
 
@@ -105,7 +107,7 @@ def absent_rows(
     """One row per key of the batch that is not among `keys`, laid out and sorted by date.
 
     Of the rows of a key the smallest by `order` is taken, ties broken by the other columns, NULL
-    first. A date is cut by key into `parts`. Copies of a key are sorted together and folded one by
+    first. A date is cut by key into `parts`. Copies of a key are sorted together and passed one by
     one, so a key with very many of them fills no memory.
     """
     rows = _packed(batch, False, parts)
@@ -117,13 +119,11 @@ def absent_rows(
         rows = rows.unionByName(_packed(keys.select(*empty), True, parts))
     rest = [c for c in OBSERVATIONS.names if c not in OBSERVATION_KEY]
     ranked = [*order, *[c for c in rest if c not in order]]
-    best = F.min(F.struct((~F.col(_STORED)).alias("_fresh"), *ranked)).alias("_best")
     placed = _unpacked(rows.repartition(tasks, DATE, _PART))
-    picked = placed.groupBy(DATE, _PART, *OBSERVATION_KEY).agg(best).filter("_best._fresh")
-    return picked.select(
-        *[F.col(c) if c in OBSERVATION_KEY else F.col(f"_best.{c}") for c in OBSERVATIONS.names],
-        DATE,
-    )
+    # A ranking that asks for the first row only keeps one row of a key at a time.
+    copies = Window.partitionBy(DATE, _PART, *OBSERVATION_KEY).orderBy(~F.col(_STORED), *ranked)
+    best = placed.withColumn("_rank", F.row_number().over(copies)).filter("_rank = 1")
+    return best.filter(~F.col(_STORED)).select(*OBSERVATIONS.names, DATE)
 
 
 def on_days(days: list[str]) -> Column:

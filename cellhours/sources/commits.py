@@ -109,11 +109,16 @@ def rename_once(spark: SparkSession, draft: str, name: str, text: str) -> bool:
     return True
 
 
-def stage(rows: DataFrame, path: str, partition: str) -> tuple[str, tuple[str, ...]]:
-    """Write rows where no reader looks yet; the commit's id and the partition folders it has."""
-    commit_id = uuid.uuid4().hex
+def stage(
+    rows: DataFrame, path: str, partition: str, commit_id: str | None = None, **options: str
+) -> tuple[str, tuple[str, ...]]:
+    """Write rows where no reader looks yet; the commit's id and the partition folders it has.
+
+    With the id of a commit that is not published yet, the rows are added to it.
+    """
+    commit_id = commit_id or uuid.uuid4().hex
     folder = f"{path}/{COMMIT}={commit_id}"
-    rows.write.partitionBy(partition).parquet(folder)
+    rows.write.mode("append").options(**options).partitionBy(partition).parquet(folder)
     found = children(rows.sparkSession, folder)
     return commit_id, tuple(n.split("=", 1)[1] for n in found if n.startswith(f"{partition}="))
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import and_
-
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_, or_
+from threading import Lock
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +19,7 @@ from cellhours.operators.cells import cell_hourly
 from cellhours.schemas import OBSERVATION_KEY, OBSERVATIONS, SLOT
 from cellhours.sources.appends import (
     DATE,
+    REPORT_FILES,
     ROWS_PER_TASK,
     absent_rows,
     on_days,
@@ -37,6 +39,10 @@ from cellhours.sources.commits import (
 )
 from cellhours.sources.scratch import materialise
 
+# What one exchange of an append may hold, about 35 bytes a row on disk.
+ROWS_AT_ONCE = 200_000_000
+_TURNS: dict[str, Lock] = {}
+
 READ_COLUMNS = [f.name for f in OBSERVATIONS.fields if f.name != "ingest_run_id"]
 
 
@@ -152,12 +158,20 @@ def _dates_held(spark: SparkSession, path: str, entries: list[Entry], whole: boo
     return held
 
 
-def _stage_absent(
-    batch: DataFrame, path: str, entries: list[Entry], whole: bool, order: tuple[str, ...]
-) -> tuple[str, tuple[str, ...], int] | None:
-    """Stage the rows of a batch whose key those commits lack; None if there is no such row."""
-    spark = batch.sparkSession
-    mine = materialise(slot_digests(batch), "append-slots")  # a row per hour
+@dataclass(frozen=True)
+class _News:
+    """What of a batch a table lacks: the slots, their rows by date, and the stored keys there."""
+
+    slots: DataFrame
+    dates: list[Row]
+    existing: DataFrame | None
+
+
+def _news(
+    mine: DataFrame, path: str, entries: list[Entry], whole: bool
+) -> _News | None:
+    """The slots of a batch, given their digests, that some commits or the whole table lack."""
+    spark = mine.sparkSession
     day = utc_date(SLOT).cast("string")
     days = [r[0] for r in mine.select(day).distinct().collect()]  # a row per date
     held = _dates_held(spark, path, entries, whole)
@@ -167,33 +181,75 @@ def _stage_absent(
         stored = stored_observations(spark, path, None if whole else entries)
         existing = stored.filter(on_days(shared)).select(*OBSERVATION_KEY, DATE)
         theirs = slot_digests(existing)
-    news = materialise(slots_with_news(mine, theirs), "append-news")
-    totals = (
-        news.groupBy(day.alias("day"))
+    slots = materialise(slots_with_news(mine, theirs).withColumn("_day", day), "append-news")
+    dates = (
+        slots.groupBy("_day")
         .agg(F.sum("_rows").alias("rows"), F.max("_stored").alias("stored"))
         .collect()
     )
-    if not totals:
+    return _News(slots, dates, existing) if dates else None
+
+
+def _rounds(dates: list[Row]) -> list[list[Row]]:
+    """Dates in groups of about ROWS_AT_ONCE rows, one date at least."""
+    rounds: list[list[Row]] = []
+    room = 0
+    for date in sorted(dates, key=lambda r: r._day or ""):
+        if not rounds or date.rows > room:
+            rounds.append([])
+            room = ROWS_AT_ONCE
+        rounds[-1].append(date)
+        room -= date.rows
+    return rounds
+
+
+def _stage_absent(
+    batch: DataFrame, news: _News | None, path: str, order: tuple[str, ...]
+) -> tuple[str, tuple[str, ...], int] | None:
+    """Stage the rows of a batch whose key the table lacks; None if there is no such row.
+
+    A batch of very many rows is moved by some dates at a time, so the files of its exchange
+    stay small beside the table; all go into one commit.
+    """
+    if news is None:
         return None
-    keys = None
-    if mixed := [r.day for r in totals if r.stored]:
-        keys = only_slots(existing.filter(on_days(mixed)), news.filter("_stored"))
-    rows = only_slots(batch, news) if shared else batch
-    tasks = math.ceil(sum(r.rows for r in totals) / ROWS_PER_TASK)
-    parts = math.ceil(max(r.rows for r in totals) / ROWS_PER_TASK)
-    # The row count is taken from the writing stage, whose tasks count once even after a lost
-    # executor.
-    written = Observation()
-    fresh = absent_rows(rows, keys, tasks, parts, order)
-    counted = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
-    commit_id, dates = stage(counted, path, DATE)
-    count = int(written.get["rows"])
+    spark = batch.sparkSession
+    commit_id, dates, count = None, (), 0
+    rounds = _rounds(news.dates)
+    for some in rounds:
+        keys = None
+        if mixed := [r._day for r in some if r.stored]:
+            stored = news.slots.filter(F.col("_stored") & F.col("_day").isin(mixed))
+            keys = only_slots(news.existing.filter(on_days(mixed)), stored)
+        rows = batch
+        if news.existing is not None or len(rounds) > 1:
+            here = reduce(or_, [F.col("_day").eqNullSafe(F.lit(r._day)) for r in some])
+            rows = only_slots(batch, news.slots.filter(here))
+        tasks = math.ceil(sum(r.rows for r in some) / ROWS_PER_TASK)
+        parts = math.ceil(max(r.rows for r in some) / ROWS_PER_TASK)
+        # The row count is taken from the writing stage, whose tasks count once even after a lost
+        # executor.
+        written = Observation()
+        fresh = absent_rows(rows, keys, tasks, parts, order)
+        counted = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
+        commit_id, dates = stage(counted, path, DATE, commit_id, **REPORT_FILES)
+        count += int(written.get["rows"])
     if not count:
         remove(spark, f"{path}/{COMMIT}={commit_id}")
         return None
     return commit_id, dates, count
 
 
+def _turn(path: str) -> Lock:
+    """Held while a writer of this process stages rows for a table.
+
+    The writers of a process share its executors, so staging at the same time gains them
+    nothing: each would move and write what they have in common. In turns, a writer finds the
+    rows of those before it in the table. Writers of other processes meet in the log only.
+    """
+    return _TURNS.setdefault(path.rstrip("/"), Lock())
+
+
 def append_if_absent(
     batch: DataFrame, path: str, attempts: int = 20, order: tuple[str, ...] = ()
 ) -> int:
@@ -206,14 +262,23 @@ def append_if_absent(
     """
     spark = batch.sparkSession
     rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in OBSERVATIONS.fields])
-    known = log_entries(spark, path)
-    version = known[-1].version if known else 0
-    staged = _stage_absent(rows, path, known, True, order)
+    mine = materialise(slot_digests(rows), "append-slots")  # a row per hour
+    with _turn(path):
+        known = log_entries(spark, path)
+        while True:
+            version = known[-1].version if known else 0
+            news = _news(mine, path, known, True)
+            # The writer before commits once its turn is over, which may have been just now.
+            newer = log_entries(spark, path, version)
+            if not newer:
+                break
+            known += newer
+        staged = _stage_absent(rows, news, path, order)
     for _ in range(attempts):
         if staged is None:
             return 0
         commit_id, dates, count = staged
-        newer: list[Entry] = []
+        newer = []
         while not any(set(e.parts) & set(dates) for e in newer):
             entry = Entry(version + 1, commit_id, count, dates)
             if publish(spark, path, entry):
@@ -221,6 +286,8 @@ def append_if_absent(
             newer = log_entries(spark, path, version)
             version = newer[-1].version
         mine = stored_observations(spark, path, [entry]).select(*OBSERVATIONS.names)
-        staged = _stage_absent(mine, path, newer, False, order)
+        with _turn(path):
+            digests = materialise(slot_digests(mine), "append-slots")
+            staged = _stage_absent(mine, _news(digests, path, newer, False), path, order)
         remove(spark, f"{path}/{COMMIT}={commit_id}")  # in no entry, so nobody reads it
     raise RuntimeError(f"other writers came first {attempts} times")

@@ -1,7 +1,11 @@
 """What an append moves: each report once, and nothing of slots that are stored already."""
 
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
+import pyarrow.parquet as pq
 import pytest
 
 from cellhours.plans import registry
@@ -100,3 +104,75 @@ def test_a_captured_batch_is_not_cached_and_its_folder_goes(spark, tmp_path, mon
 
 def test_landed_answers_are_compressed():
     assert registry.LANDED["compression"] == "gzip"
+
+
+def test_writers_of_one_process_move_what_they_share_once(spark, tmp_path, monkeypatch):
+    """All three have looked at the table while it was empty, if they look before their turn."""
+    table, stage, digests = str(tmp_path / "t"), store.stage, store.slot_digests
+    staged, ready, waited = [], threading.Barrier(3), set()
+
+    def counted(rows, path, *args, **options):
+        commit = stage(rows, path, *args, **options)
+        staged.append(spark.read.parquet(f"{path}/commit_id={commit[0]}").count())
+        return commit
+
+    def together(rows):
+        if threading.get_ident() not in waited:
+            waited.add(threading.get_ident())
+            ready.wait(120)
+        return digests(rows)
+
+    monkeypatch.setattr(store, "stage", counted)
+    monkeypatch.setattr(store, "slot_digests", together)
+    batches = [observations(spark, traffic(hours, lambda _: 0)) for hours in ([0, 1], [1, 30], [0, 1, 30])]
+    with ThreadPoolExecutor(3) as writers:
+        added = list(writers.map(lambda batch: store.append_if_absent(batch, table), batches))
+    assert sum(added) == sum(staged) == store.stored_observations(spark, table).count() == 30
+
+
+@pytest.mark.parametrize("at_once", [1, 25, 10**6])
+def test_a_batch_moves_some_dates_at_a_time_into_one_commit(spark, tmp_path, monkeypatch, at_once):
+    table, stage, calls = str(tmp_path / "t"), store.stage, []
+
+    def counted(*args, **options):
+        calls.append(args)
+        return stage(*args, **options)
+
+    monkeypatch.setattr(store, "ROWS_AT_ONCE", at_once)
+    store.append_if_absent(observations(spark, traffic([0, 24], lambda _: 0)), table)
+    monkeypatch.setattr(store, "stage", counted)
+    rows = traffic([0, 1, 24, 25, 50, 51, 74], lambda _: 0) + traffic([74], lambda _: 1)
+    rows.append({**report("no slot", 3, T0), "slot_start": None})
+    assert store.append_if_absent(observations(spark, rows), table) == 51
+    # Of the five dates, one NULL, 10, 10, 20 and 20 rows in slots with news.
+    assert len(calls) == {1: 5, 25: 3, 10**6: 1}[at_once]
+    assert len(children(spark, table)) == 3  # two commits and the log
+    stored = store.stored_observations(spark, table)
+    assert stored.count() == stored.select(*OBSERVATION_KEY).distinct().count() == 71
+    assert stored.filter("nic = 2").count() == 10  # of two copies the worse NIC
+    assert store.append_if_absent(observations(spark, rows[:-1]), table) == 0
+
+
+def test_an_append_leaves_no_files_of_its_exchanges(spark, tmp_path):
+    def shuffles():
+        env = spark._jvm.org.apache.spark.SparkEnv.get()
+        files = env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f and f.endswith(".data")}
+
+    before = shuffles()
+    store.append_if_absent(observations(spark, traffic([0, 1, 30], lambda _: 0)), str(tmp_path / "t"))
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+
+
+def test_reports_are_written_without_a_dictionary_of_times(spark, tmp_path):
+    rows = [report(f"v-{i}", 9, T0) for i in range(50)]
+    store.append_if_absent(observations(spark, rows), str(tmp_path / "t"))
+    [file] = (tmp_path / "t").glob("commit_id=*/*/*.parquet")
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    chunks = {c.path_in_schema: c for c in (group.column(i) for i in range(group.num_columns))}
+    encoded = {name: str(c.encodings) for name, c in chunks.items()}
+    assert "DICTIONARY" in encoded["sample_point"] and "DICTIONARY" not in encoded["observed_at"]
+    assert {c.compression for c in chunks.values()} == {"ZSTD"}
