@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellhours.config import DEFAULT_RULES, Rules
 from cellhours.schemas import SNAPSHOT
+from cellhours.sources.appends import REPORT_FILES
 from cellhours.sources.commits import remove
 from cellhours.sources.observations import append_if_absent
 from cellhours.sources.scratch import run_folder
@@ -56,7 +57,7 @@ def start_reports(
         # that a cache would, and a look reads its own columns only.
         spark = batch.sparkSession
         folder = run_folder(spark, "capture")
-        batch.write.parquet(folder)
+        batch.write.options(**REPORT_FILES).parquet(folder)
         try:
             rows = spark.read.schema(batch.schema).parquet(folder)
             append_if_absent(rows, table)

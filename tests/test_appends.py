@@ -3,7 +3,7 @@
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pyarrow.parquet as pq
 import pytest
@@ -176,3 +176,19 @@ def test_reports_are_written_without_a_dictionary_of_times(spark, tmp_path):
     encoded = {name: str(c.encodings) for name, c in chunks.items()}
     assert "DICTIONARY" in encoded["sample_point"] and "DICTIONARY" not in encoded["observed_at"]
     assert {c.compression for c in chunks.values()} == {"ZSTD"}
+
+
+def test_answers_land_again_as_the_same_lines(spark, tmp_path, monkeypatch):
+    """The feed is parsed and written as JSON once; its lines are landed twice."""
+    at = datetime(2024, 1, 5)
+    events = [(i, at + timedelta(minutes=37 * i), i % 7, "view") for i in range(40)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+    spark.createDataFrame(events, schema).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(registry, "run_folder", lambda _, name: str(tmp_path / name))
+    stored = registry.QUERIES["stream_capture"](spark, str(tmp_path))
+    lines = spark.read.text(str(tmp_path / "landing")).groupBy("value").count()
+    assert {r["count"] for r in lines.collect()} == {2} and lines.count() == 480
+    names = [n for n in children(spark, str(tmp_path / "landing")) if n.endswith(".gz")]
+    assert {n.split(".", 1)[1] for n in names} == {"json.gz", "txt.gz"}
+    reports = registry.QUERIES["snapshot_flatten"](spark, str(tmp_path))
+    assert sorted(map(str, stored.collect())) == sorted(map(str, reports.collect()))
